@@ -1,0 +1,242 @@
+"""Small numeric helpers for one bounded series: unit-root test and ARMA fit.
+
+Called from pandas UDFs on arrays of at most `points` values; Spark spreads the
+series and the candidate orders.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+# 5 % critical value of the unit-root test with a constant, as a
+# polynomial in 1/observations (MacKinnon 2010).
+CRITICAL_5_PERCENT = (-2.86154, -2.8903, -4.234, -40.040)
+
+
+def is_stationary(values: np.ndarray) -> bool:
+    """Augmented Dickey-Fuller test with a constant and the AIC choice of lags.
+
+    Raises ValueError where the test is undefined.
+    """
+    n = values.size
+    if n == 0 or values.max() == values.min():
+        raise ValueError("constant series")
+    longest = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
+    if longest < 0:
+        raise ValueError("series too short")
+    steps = np.diff(values)
+
+    def regression(lags: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = steps.size - lags
+        columns = [np.ones(rows), values[lags:-1]]
+        columns += [steps[lags - lag : steps.size - lag] for lag in range(1, lags + 1)]
+        return np.column_stack(columns), steps[lags:]
+
+    # The candidate models are nested, so one QR gives every residual sum.
+    x, y = regression(longest)
+    q, _ = np.linalg.qr(x)
+    weights = q.T @ y
+    rest = float(np.sum((y - q @ weights) ** 2))
+    squares = np.append(weights, 0.0) ** 2
+    residual = rest + squares[::-1].cumsum()[::-1][2:]
+    if residual.min() <= 1e-20 * float(y @ y):
+        raise ValueError("no residual variance")
+    rows = y.size
+    aic = rows * np.log(residual / rows) + 2 * np.arange(2, longest + 3)
+    x, y = regression(int(np.argmin(aic)))
+
+    inverse = np.linalg.pinv(x.T @ x)
+    beta = np.linalg.lstsq(x, y, rcond=None)[0]
+    spread = float(np.sum((y - x @ beta) ** 2)) / (y.size - x.shape[1])
+    statistic = beta[1] / np.sqrt(spread * inverse[1, 1])
+    return bool(statistic < np.polyval(CRITICAL_5_PERCENT[::-1], 1 / y.size))
+
+
+def difference_order(values: np.ndarray, limit: int) -> int | None:
+    """Fewest differences that make the series stationary, None if not found."""
+    for order in range(limit + 1):
+        try:
+            if is_stationary(np.diff(values, order)):
+                return order
+        except (ValueError, FloatingPointError, np.linalg.LinAlgError):
+            return None
+    return None
+
+
+def _coefficients(free: np.ndarray) -> np.ndarray:
+    """Free numbers -> partial autocorrelations -> stationary AR coefficients."""
+    ar = np.empty(0)
+    for partial in free / np.sqrt(1 + free**2):
+        ar = np.append(ar - partial * ar[::-1], partial)
+    return ar
+
+
+def _free(ar: np.ndarray) -> np.ndarray | None:
+    """Inverse of `_coefficients`; None outside the stationary region."""
+    partials = []
+    while ar.size:
+        last, ar = ar[-1], ar[:-1]
+        if abs(last) >= 0.995:
+            return None
+        partials.append(last)
+        ar = (ar + last * ar[::-1]) / (1 - last**2)
+    partials = np.array(partials[::-1])
+    return partials / np.sqrt(1 - partials**2)
+
+
+class _Likelihood:
+    """Exact Gaussian likelihood of ARMA(p, q), variance and mean profiled out.
+
+    The shocks are a linear function of the series and of the start state.
+    Filtering by MA^-1 AR is a division of Fourier transforms on a circle
+    slightly inside the unit circle, where the wrap-around dies out.
+    """
+
+    def __init__(self, series: np.ndarray, p: int, q: int, with_mean: bool) -> None:
+        self.p, self.q, self.n = p, q, series.size
+        self.scale = float(series.std()) or 1.0
+        rows = [(series - series.mean() * with_mean) / self.scale]
+        if with_mean:
+            rows.append(np.ones(self.n))
+        self.length = 1 << int(2 * self.n - 1).bit_length()
+        self.damping = np.exp(-23.0 / self.length * np.arange(self.n))
+        self.rows = np.fft.rfft(np.array(rows) * self.damping, self.length)
+
+    def _transform(self, polynomial: np.ndarray) -> np.ndarray:
+        scaled = polynomial * np.exp(-23.0 / self.length * np.arange(polynomial.size))
+        return np.fft.rfft(scaled, self.length)
+
+    def _series(self, transformed: np.ndarray) -> np.ndarray:
+        return np.fft.irfft(transformed, self.length)[..., : self.n] / self.damping
+
+    def _start_covariance(self, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
+        """Covariance of what the unseen past adds to the first values."""
+        size = max(self.p, self.q + 1)
+        step = np.diag(np.ones(size - 1), 1)
+        step[: self.p, 0] = ar
+        shock = np.zeros(size)
+        shock[0], shock[1 : self.q + 1] = 1.0, ma
+        impulse = np.outer(shock, shock)
+        total = impulse.copy()
+        for _ in range(60):
+            added = step @ total @ step.T
+            total = total + added
+            step = step @ step
+            if np.abs(added).max() <= 1e-15 * np.abs(total).max():
+                break
+        order = max(self.p, self.q)
+        return (total - impulse)[:order, :order]
+
+    def deviance(self, free: np.ndarray) -> float:
+        """Minus twice the log-likelihood at the best variance and mean."""
+        ar, ma = _coefficients(free[: self.p]), -_coefficients(free[self.p :])
+        inverse_ma = 1 / self._transform(np.concatenate([[1.0], ma]))
+        shocks = self._series(
+            self.rows * self._transform(np.concatenate([[1.0], -ar])) * inverse_ma
+        )
+        gram, determinant = shocks @ shocks.T, 0.0
+        order = max(self.p, self.q)
+        if order:
+            response = self._series(inverse_ma)
+            lagged = np.zeros((order, self.n))
+            for lag in range(min(order, self.n)):
+                lagged[lag, lag:] = response[: self.n - lag]
+            start = self._start_covariance(ar, ma)
+            mixed = np.eye(order) + start @ (lagged @ lagged.T)
+            seen = lagged @ shocks.T
+            gram = gram - seen.T @ np.linalg.solve(mixed, start @ seen)
+            determinant = float(np.linalg.slogdet(mixed)[1])
+        total = gram[0, 0]
+        if gram.shape[0] == 2:
+            total = total - gram[0, 1] ** 2 / gram[1, 1]
+        variance = total / self.n * self.scale**2
+        if not variance > 0:
+            return float("nan")
+        return self.n * (np.log(2 * np.pi * variance) + 1) + determinant
+
+
+def _starting_point(series: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Regression on lags and on the residuals of a long autoregression."""
+    nothing = np.zeros(p + q)
+    long = min(max(2 * (p + q), 10), series.size // 4)
+    if long < max(p, q) or series.size - long - q < p + q + 2:
+        return nothing
+
+    def lags(values: np.ndarray, count: int, skip: int) -> list[np.ndarray]:
+        return [values[skip - lag : values.size - lag] for lag in range(1, count + 1)]
+
+    residual = np.zeros(series.size)
+    if q:
+        x = np.column_stack(lags(series, long, long))
+        beta = np.linalg.lstsq(x, series[long:], rcond=None)[0]
+        residual[long:] = series[long:] - x @ beta
+    skip = long + q
+    x = np.column_stack(lags(series, p, skip) + lags(residual, q, skip))
+    beta = np.linalg.lstsq(x, series[skip:], rcond=None)[0]
+    parts = [_free(beta[:p]), _free(-beta[p:])]
+    return nothing if any(part is None for part in parts) else np.concatenate(parts)
+
+
+def _lowest(function, x: np.ndarray) -> float:
+    """Quasi-Newton (BFGS) minimum with central-difference slopes."""
+    nudge = 1e-5
+
+    def slopes(at: np.ndarray) -> np.ndarray:
+        moves = nudge * np.eye(at.size)
+        return np.array(
+            [(function(at + move) - function(at - move)) / (2 * nudge) for move in moves]
+        )
+
+    value, slope, curvature = function(x), slopes(x), np.eye(x.size)
+    for _ in range(60):
+        if not np.isfinite(value) or not np.abs(slope).max() > 1e-6:
+            break
+        direction = -curvature @ slope
+        if direction @ slope >= 0:
+            curvature, direction = np.eye(x.size), -slope
+        length = min(1.0, 2.0 / np.abs(direction).max())
+        while length > 1e-8:
+            candidate = x + length * direction
+            reached = function(candidate)
+            if reached <= value + 1e-4 * length * (direction @ slope):
+                break
+            length /= 2
+        else:
+            break
+        gain, new_slope = value - reached, slopes(candidate)
+        moved, bent = candidate - x, new_slope - slope
+        x, value, slope = candidate, reached, new_slope
+        if gain < 1e-11 * (1 + abs(value)):
+            break
+        if moved @ bent > 1e-14:
+            ratio = 1 / (moved @ bent)
+            left = np.eye(x.size) - ratio * np.outer(moved, bent)
+            curvature = left @ curvature @ left.T + ratio * np.outer(moved, moved)
+    return value
+
+
+def arima_bic(values: np.ndarray, p: int, d: int, q: int) -> float:
+    """BIC of ARIMA(p, d, q) by exact maximum likelihood; NaN when it fails.
+
+    An undifferenced series also gets a mean.
+    """
+    series = np.diff(np.asarray(values, dtype=float), d)
+    n = series.size
+    if n < 1:
+        return float("nan")
+    try:
+        with np.errstate(all="ignore"):
+            model = _Likelihood(series, p, q, with_mean=d == 0)
+            if p + q == 0:
+                deviance = model.deviance(np.empty(0))
+            else:
+                centred = series - series.mean() * (d == 0)
+                start = _starting_point(centred, p, q)
+                if not model.deviance(start) <= model.deviance(np.zeros(p + q)):
+                    start = np.zeros(p + q)
+                deviance = n * _lowest(lambda free: model.deviance(free) / n, start)
+    except np.linalg.LinAlgError:
+        return float("nan")
+    parameters = p + q + 1 + (d == 0)
+    bic = deviance + parameters * np.log(n)
+    return float(bic) if np.isfinite(bic) else float("nan")
