@@ -64,10 +64,15 @@ def difference_order(values: np.ndarray, limit: int) -> int | None:
 
 
 def _coefficients(free: np.ndarray) -> np.ndarray:
-    """Free numbers -> partial autocorrelations -> stationary AR coefficients."""
-    ar = np.empty(0)
-    for partial in free / np.sqrt(1 + free**2):
-        ar = np.append(ar - partial * ar[::-1], partial)
+    """Free numbers -> partial autocorrelations -> stationary AR coefficients.
+
+    Works on the last axis, one row per parameter set.
+    """
+    partials = free / np.sqrt(1 + free**2)
+    ar = partials[..., :0]
+    for k in range(free.shape[-1]):
+        partial = partials[..., k : k + 1]
+        ar = np.concatenate([ar - partial * ar[..., ::-1], partial], axis=-1)
     return ar
 
 
@@ -89,22 +94,30 @@ class _Likelihood:
 
     The shocks are a linear function of the series and of the start state.
     Filtering by MA^-1 AR is a division of Fourier transforms on a circle
-    slightly inside the unit circle, where the wrap-around dies out.
+    slightly inside the unit circle, where the wrap-around dies out. Several
+    parameter sets are evaluated at once, one per row.
     """
 
+    # Numbers held per batch of parameter sets.
+    BATCH = 4_000_000
+
     def __init__(self, series: np.ndarray, p: int, q: int, with_mean: bool) -> None:
         self.p, self.q, self.n = p, q, series.size
         self.scale = float(series.std()) or 1.0
         rows = [(series - series.mean() * with_mean) / self.scale]
         if with_mean:
             rows.append(np.ones(self.n))
-        self.length = 1 << int(2 * self.n - 1).bit_length()
-        self.damping = np.exp(-23.0 / self.length * np.arange(self.n))
-        self.rows = np.fft.rfft(np.array(rows) * self.damping, self.length)
-
-    def _transform(self, polynomial: np.ndarray) -> np.ndarray:
-        scaled = polynomial * np.exp(-23.0 / self.length * np.arange(polynomial.size))
-        return np.fft.rfft(scaled, self.length)
+        length = 1 << int(2 * self.n - 1).bit_length()
+        decay = 23.0 / length
+        self.length = length
+        self.damping = np.exp(-decay * np.arange(self.n))
+        self.rows = np.fft.rfft(np.array(rows) * self.damping, length)
+        # Powers of the backshift on the circle, to evaluate polynomials.
+        place = -decay - 2j * np.pi * np.arange(length // 2 + 1) / length
+        self.powers = np.exp(np.arange(1, max(p, q) + 1)[:, None] * place)
+
+    def _polynomial(self, coefficients: np.ndarray) -> np.ndarray:
+        return 1 + coefficients @ self.powers[: coefficients.shape[-1]]
 
     def _series(self, transformed: np.ndarray) -> np.ndarray:
         return np.fft.irfft(transformed, self.length)[..., : self.n] / self.damping
@@ -112,46 +125,51 @@ class _Likelihood:
     def _start_covariance(self, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
         """Covariance of what the unseen past adds to the first values."""
         size = max(self.p, self.q + 1)
-        step = np.diag(np.ones(size - 1), 1)
-        step[: self.p, 0] = ar
-        shock = np.zeros(size)
-        shock[0], shock[1 : self.q + 1] = 1.0, ma
-        impulse = np.outer(shock, shock)
-        total = impulse.copy()
+        step = np.zeros((len(ar), size, size))
+        step[:, np.arange(size - 1), np.arange(1, size)] = 1.0
+        step[:, : self.p, 0] = ar
+        shock = np.zeros((len(ar), size))
+        shock[:, 0], shock[:, 1 : self.q + 1] = 1.0, ma
+        impulse = shock[:, :, None] * shock[:, None, :]
+        total = impulse
         for _ in range(60):
-            added = step @ total @ step.T
+            added = step @ total @ step.transpose(0, 2, 1)
             total = total + added
             step = step @ step
             if np.abs(added).max() <= 1e-15 * np.abs(total).max():
                 break
         order = max(self.p, self.q)
-        return (total - impulse)[:order, :order]
-
-    def deviance(self, free: np.ndarray) -> float:
-        """Minus twice the log-likelihood at the best variance and mean."""
-        ar, ma = _coefficients(free[: self.p]), -_coefficients(free[self.p :])
-        inverse_ma = 1 / self._transform(np.concatenate([[1.0], ma]))
-        shocks = self._series(
-            self.rows * self._transform(np.concatenate([[1.0], -ar])) * inverse_ma
+        return (total - impulse)[:, :order, :order]
+
+    def deviance(self, free: np.ndarray) -> np.ndarray:
+        """Minus twice the log-likelihood at the best variance and mean, per row."""
+        width = self.n * max(self.p, self.q, 2)
+        sets = max(1, self.BATCH // width)
+        return np.concatenate(
+            [self._deviance(free[at : at + sets]) for at in range(0, len(free), sets)]
         )
-        gram, determinant = shocks @ shocks.T, 0.0
+
+    def _deviance(self, free: np.ndarray) -> np.ndarray:
+        ar, ma = _coefficients(free[:, : self.p]), -_coefficients(free[:, self.p :])
+        inverse_ma = 1 / self._polynomial(ma)
+        filtered = self._polynomial(-ar) * inverse_ma
+        shocks = self._series(self.rows * filtered[:, None])
+        gram, determinant = shocks @ shocks.transpose(0, 2, 1), 0.0
         order = max(self.p, self.q)
         if order:
             response = self._series(inverse_ma)
-            lagged = np.zeros((order, self.n))
+            lagged = np.zeros((len(free), order, self.n))
             for lag in range(min(order, self.n)):
-                lagged[lag, lag:] = response[: self.n - lag]
+                lagged[:, lag, lag:] = response[:, : self.n - lag]
             start = self._start_covariance(ar, ma)
-            mixed = np.eye(order) + start @ (lagged @ lagged.T)
-            seen = lagged @ shocks.T
-            gram = gram - seen.T @ np.linalg.solve(mixed, start @ seen)
-            determinant = float(np.linalg.slogdet(mixed)[1])
-        total = gram[0, 0]
-        if gram.shape[0] == 2:
-            total = total - gram[0, 1] ** 2 / gram[1, 1]
-        variance = total / self.n * self.scale**2
-        if not variance > 0:
-            return float("nan")
+            mixed = np.eye(order) + start @ (lagged @ lagged.transpose(0, 2, 1))
+            seen = lagged @ shocks.transpose(0, 2, 1)
+            gram = gram - seen.transpose(0, 2, 1) @ np.linalg.solve(mixed, start @ seen)
+            determinant = np.linalg.slogdet(mixed)[1]
+        total = gram[:, 0, 0]
+        if len(self.rows) == 2:
+            total = total - gram[:, 0, 1] ** 2 / gram[:, 1, 1]
+        variance = np.where(total > 0, total, np.nan) / self.n * self.scale**2
         return self.n * (np.log(2 * np.pi * variance) + 1) + determinant
 
 
@@ -177,17 +195,23 @@ def _starting_point(series: np.ndarray, p: int, q: int) -> np.ndarray:
     return nothing if any(part is None for part in parts) else np.concatenate(parts)
 
 
-def _lowest(function, x: np.ndarray) -> float:
-    """Quasi-Newton (BFGS) minimum with central-difference slopes."""
+def _lowest(model: _Likelihood, x: np.ndarray) -> float:
+    """Quasi-Newton (BFGS) minimum of the deviance.
+
+    The value at a point and at its neighbours along each axis, which give the
+    slopes, are one batch.
+    """
     nudge = 1e-5
+    around = nudge * np.eye(x.size)
+    around = np.concatenate([np.zeros((1, x.size)), around, -around])
 
-    def slopes(at: np.ndarray) -> np.ndarray:
-        moves = nudge * np.eye(at.size)
-        return np.array(
-            [(function(at + move) - function(at - move)) / (2 * nudge) for move in moves]
-        )
+    def look(at: np.ndarray) -> tuple[float, np.ndarray]:
+        values = model.deviance(at + around) / model.n
+        ahead, behind = values[1 : x.size + 1], values[x.size + 1 :]
+        return values[0], (ahead - behind) / (2 * nudge)
 
-    value, slope, curvature = function(x), slopes(x), np.eye(x.size)
+    value, slope = look(x)
+    curvature = np.eye(x.size)
     for _ in range(60):
         if not np.isfinite(value) or not np.abs(slope).max() > 1e-6:
             break
@@ -197,22 +221,21 @@ def _lowest(function, x: np.ndarray) -> float:
         length = min(1.0, 2.0 / np.abs(direction).max())
         while length > 1e-8:
             candidate = x + length * direction
-            reached = function(candidate)
+            reached, new_slope = look(candidate)
             if reached <= value + 1e-4 * length * (direction @ slope):
                 break
             length /= 2
         else:
             break
-        gain, new_slope = value - reached, slopes(candidate)
-        moved, bent = candidate - x, new_slope - slope
+        gain, moved, bent = value - reached, candidate - x, new_slope - slope
         x, value, slope = candidate, reached, new_slope
-        if gain < 1e-11 * (1 + abs(value)):
+        if gain < 1e-10 * (1 + abs(value)):
             break
         if moved @ bent > 1e-14:
             ratio = 1 / (moved @ bent)
             left = np.eye(x.size) - ratio * np.outer(moved, bent)
             curvature = left @ curvature @ left.T + ratio * np.outer(moved, moved)
-    return value
+    return float(value * model.n)
 
 
 def arima_bic(values: np.ndarray, p: int, d: int, q: int) -> float:
@@ -227,14 +250,14 @@ def arima_bic(values: np.ndarray, p: int, d: int, q: int) -> float:
     try:
         with np.errstate(all="ignore"):
             model = _Likelihood(series, p, q, with_mean=d == 0)
+            origin = np.zeros(p + q)
             if p + q == 0:
-                deviance = model.deviance(np.empty(0))
+                deviance = float(model.deviance(origin[None])[0])
             else:
                 centred = series - series.mean() * (d == 0)
                 start = _starting_point(centred, p, q)
-                if not model.deviance(start) <= model.deviance(np.zeros(p + q)):
-                    start = np.zeros(p + q)
-                deviance = n * _lowest(lambda free: model.deviance(free) / n, start)
+                at_start, at_origin = model.deviance(np.array([start, origin]))
+                deviance = _lowest(model, start if at_start <= at_origin else origin)
     except np.linalg.LinAlgError:
         return float("nan")
     parameters = p + q + 1 + (d == 0)

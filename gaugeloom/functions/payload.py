@@ -6,6 +6,8 @@ would lose the order that decides which feature was seen first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ PAIRS_TYPE = "array<struct<feature:string,value:string>>"
 UNICODE_PAIR = r"^u'[\w\W]*':u'[\w\W]*'\z"
 QUOTED_PAIR = r'^"[\w\W]*":"[\w\W]*"\z'
 
+# JSON words whose Python spelling differs.
+PLAIN_WORD = r"true|false|null|NaN|Infinity"
+
 
 def _no_pairs() -> Column:
     return F.array().cast(PAIRS_TYPE)
@@ -27,19 +32,35 @@ def _pair(feature: Column, value: Column) -> Column:
     return F.struct(feature.alias("feature"), value.alias("value"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind `value` once: an expression used twice is otherwise computed twice,
+    and inside a lambda once per element."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def _last_value_wins(pairs: Column) -> Column:
     """A repeated feature keeps its first position and its last value."""
-    names = F.array_distinct(F.transform(pairs, lambda pair: pair["feature"]))
-    merged = F.transform(
-        names,
-        lambda name: _pair(
-            name,
-            F.element_at(
-                F.filter(pairs, lambda pair: pair["feature"] == name), -1
-            )["value"],
-        ),
-    )
-    return F.when(F.size(names) < F.size(pairs), merged).otherwise(pairs)
+
+    def merged(pairs: Column, names: Column) -> Column:
+        return F.transform(
+            names,
+            lambda name: _pair(
+                name,
+                F.element_at(
+                    F.filter(pairs, lambda pair: pair["feature"] == name), -1
+                )["value"],
+            ),
+        )
+
+    def settled(pairs: Column) -> Column:
+        return _let(
+            F.array_distinct(pairs["feature"]),
+            lambda names: F.when(
+                F.size(names) < F.size(pairs), merged(pairs, names)
+            ).otherwise(pairs),
+        )
+
+    return _let(pairs, settled)
 
 
 def legacy_pairs(data: Column) -> Column:
@@ -47,26 +68,29 @@ def legacy_pairs(data: Column) -> Column:
     body = F.replace(
         F.substring(data, F.lit(2), F.length(data) - 2), F.lit(" "), F.lit("")
     )
-    parts = F.split(body, ",", -1)
-    first = F.element_at(parts, 1)
-    # Characters in front of the text of each side: u' or a bare quote.
-    lead = F.when(first.rlike(UNICODE_PAIR), 2).when(first.rlike(QUOTED_PAIR), 1)
-    sides = F.transform(parts, lambda part: F.split(part, ":", -1))
-
-    def unquoted(side: Column) -> Column:
-        kept = F.greatest(F.length(side) - lead - 1, F.lit(0))
-        return F.substring(side, lead + 1, kept)
-
-    pairs = F.transform(
-        sides,
-        lambda side: _pair(unquoted(side.getItem(0)), unquoted(side.getItem(1))),
-    )
-    readable = (
-        (F.length(data) >= 2)
-        & lead.isNotNull()
-        & F.forall(sides, lambda side: F.size(side) == 2)
-    )
-    return F.when(readable, _last_value_wins(pairs)).otherwise(_no_pairs())
+
+    def from_parts(parts: Column) -> Column:
+        first = F.element_at(parts, 1)
+        # Characters in front of the text of each side: u' or a bare quote.
+        lead = F.when(first.rlike(UNICODE_PAIR), 2).when(first.rlike(QUOTED_PAIR), 1)
+        sides = F.transform(parts, lambda part: F.split(part, ":", -1))
+        return _let(lead, lambda lead: _let(sides, lambda sides: paired(lead, sides)))
+
+    def paired(lead: Column, sides: Column) -> Column:
+        def unquoted(side: Column) -> Column:
+            kept = F.greatest(F.length(side) - lead - 1, F.lit(0))
+            return F.substring(side, lead + 1, kept)
+
+        pairs = F.transform(
+            sides,
+            lambda side: _pair(unquoted(side.getItem(0)), unquoted(side.getItem(1))),
+        )
+        readable = lead.isNotNull() & F.forall(sides, lambda side: F.size(side) == 2)
+        return F.when(readable, _last_value_wins(pairs)).otherwise(_no_pairs())
+
+    return F.when(
+        F.length(data) >= 2, _let(F.split(body, ",", -1), from_parts)
+    ).otherwise(_no_pairs())
 
 
 def _as_json(literal: Column) -> Column:
@@ -82,40 +106,48 @@ def corrected_pairs(data: Column) -> Column:
     """JSON object, else flat dict literal; NULL when it is neither."""
     text = F.trim(data)
     # from_json ignores text after the object, so the brackets are checked here.
-    whole = F.when(text.rlike(r"^\{[\w\W]*\}$"), text)
+    whole = F.when(text.startswith("{") & text.endswith("}"), text)
     decoded = F.coalesce(
         F.from_json(whole, "map<string,string>"),
         F.from_json(_as_json(whole), "map<string,string>"),
     )
-    # from_json writes a JSON boolean and the text "true" alike; the variant
-    # type still tells them apart. Only texts with a bare word pay for it.
-    types = F.when(
-        text.rlike(r":\s*(true|false)\s*[,}]"),
-        F.transform_values(
-            F.try_parse_json(text).cast("map<string,variant>"),
-            lambda _, value: F.schema_of_variant(value),
-        ),
+    pairs = F.when(
+        text.rlike(PLAIN_WORD), _let(decoded, lambda read: _spelled_out(text, read))
+    ).otherwise(F.map_entries(decoded).cast(PAIRS_TYPE))
+    return _last_value_wins(pairs)
+
+
+def _spelled_out(text: Column, decoded: Column) -> Column:
+    """Entries with null, booleans and non-finite numbers spelled as in Python.
+
+    from_json writes a JSON boolean and the text "true" alike; the variant type
+    still tells them apart.
+    """
+    types = F.transform_values(
+        F.try_parse_json(text).cast("map<string,variant>"),
+        lambda _, value: F.schema_of_variant(value),
     )
 
-    def text_of(feature: Column, value: Column) -> Column:
+    def spelled(feature: Column, value: Column, types: Column) -> Column:
+        is_boolean = F.coalesce(F.try_element_at(types, feature) == "BOOLEAN", F.lit(False))
         return (
             F.when(value.isNull(), F.lit("None"))
             .when(value == '"NaN"', F.lit("nan"))
             .when(value == '"Infinity"', F.lit("inf"))
             .when(value == '"-Infinity"', F.lit("-inf"))
-            .when(
-                value.isin("true", "false")
-                & (F.try_element_at(types, feature) == "BOOLEAN"),
-                F.initcap(value),
-            )
+            .when(value.isin("true", "false") & is_boolean, F.initcap(value))
             .otherwise(value)
         )
 
-    pairs = F.transform(
-        F.map_entries(decoded),
-        lambda entry: _pair(entry["key"], text_of(entry["key"], entry["value"])),
+    return _let(
+        types,
+        lambda types: F.transform(
+            F.map_entries(decoded),
+            lambda entry: _pair(
+                entry["key"], spelled(entry["key"], entry["value"], types)
+            ),
+        ),
     )
-    return _last_value_wins(pairs)
 
 
 def parse_payload(data: Column, mode: Mode, *, strict: bool = True) -> Column:

@@ -9,7 +9,7 @@ from gaugeloom.schema import GRID_POINTS, KEY, require_count
 
 # Times are whole seconds, so a block of this width holds at most this many
 # rows once duplicates are gone, however large the series is.
-BLOCK_SECONDS = 1 << 20
+BLOCK_SECONDS = 1 << 22
 
 # Accepts padded and unpadded text, like the C library parser did.
 DATE_PATTERN = "yyyy-M-d H:m:s"
@@ -31,11 +31,17 @@ def _first_per_time(series: DataFrame, block_seconds: int) -> DataFrame:
     can name the same second; the windows keep the one that sorts first.
     """
     reduced = (
-        series.where(F.col("value").isNotNull() & ~F.isnan("value"))
+        series.where(
+            F.col("date").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
+        )
         .withColumn("time", F.unix_timestamp("date", DATE_PATTERN))
-        .withColumn("block", F.floor(F.col("time") / block_seconds))
-        .groupBy(*KEY, "block", "time", "date")
+        .groupBy(*KEY, "time", "date")
         .agg(F.min_by("value", "seq").alias("data"))
+        # Not nullable, so that a join on it adds no filter of its own to one
+        # side and both sides share this shuffle.
+        .withColumn(
+            "block", F.coalesce(F.floor(F.col("time") / block_seconds), F.lit(0))
+        )
     )
     by_time = Window.partitionBy(*KEY, "block").orderBy("time", "date")
     return (

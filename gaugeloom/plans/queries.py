@@ -265,11 +265,13 @@ def split_numeric_corrected(spark, directory):
 
 
 def split_numeric_legacy(spark, directory):
-    return series.split_numeric_series(_legacy_features(spark, directory), Mode.LEGACY)
+    features = stage(_legacy_features(spark, directory), "features")
+    return series.split_numeric_series(features, Mode.LEGACY)
 
 
 def legacy_float_series(spark, directory):
-    return series.legacy_float_series(_legacy_features(spark, directory))
+    features = stage(_legacy_features(spark, directory), "features")
+    return series.legacy_float_series(features)
 
 
 def drop_nulls(spark, directory):
@@ -628,9 +630,8 @@ def stage_outputs(spark, directory):
     """Statistics, trend and verdict of every series from one run of all stages."""
     result = _staged(spark, directory)
     return (
-        result["statistics"]
-        .join(result["trend"].drop("file"), list(KEY))
-        .join(result["verdicts"], list(KEY))
+        result.statistics.join(result.trend.drop("file"), list(KEY))
+        .join(result.verdicts, list(KEY))
         .select(
             *KEY,
             "file",

@@ -7,7 +7,7 @@ statistics and trend. Verdicts gate nothing downstream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,95 +36,134 @@ STAGE_OUTPUTS = {
     "statistics": "DataProcess12",
     "trend": "DataProcess13",
 }
+# Outputs with one row per reading or grid point of a series.
 SERIES_OUTPUTS = ("series", "cleaned", "epochs", "grid")
 
 
-@dataclass(frozen=True)
-class PipelineResult:
-    tables: dict[str, DataFrame]
-    options: PipelineOptions
+class Stages:
+    """The output of every stage, built when first asked for.
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+    What several stages read (features, series, cleaned, grid) is staged once.
+    """
+
+    def __init__(self, readings: DataFrame, options: PipelineOptions) -> None:
+        self.readings = reading_operators.group_by_device([readings])
+        self.options = options
+
+    @cached_property
+    def features(self) -> DataFrame:
+        parsed = reading_operators.parse_feature_rows(self.readings, self.options.mode)
+        return stage(
+            parsed.withColumns(
+                {name: checked_series_name(F.col(name)) for name in KEY}
+            ),
+            "features",
+        )
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        return reading_operators.merge_and_sort([self.features])
+
+    @cached_property
+    def series(self) -> DataFrame:
+        return stage(
+            series_operators.split_numeric_series(self.features, self.options.mode),
+            "series",
+        )
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return stage(
+            clean.remove_outliers(
+                self.series, hard_upper_limit=self.options.hard_upper_limit
+            ),
+            "cleaned",
+        )
+
+    @cached_property
+    def chart(self) -> DataFrame:
+        return profile.series_plot_data(self.cleaned)
+
+    @cached_property
+    def verdicts(self) -> DataFrame:
+        return diagnose.classify_series(self.cleaned)
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        return diagnose.keep_signals(self.cleaned, self.verdicts)
+
+    @cached_property
+    def epochs(self) -> DataFrame:
+        return resample.epoch_seconds(self.cleaned)
+
+    @cached_property
+    def grid(self) -> DataFrame:
+        return stage(
+            resample.interpolate_series(self.cleaned, self.options.points), "grid"
+        )
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return arima.select_arima_order(
+            self.grid,
+            self.options.p_max,
+            self.options.q_max,
+            self.options.max_differences,
+            points=self.options.points,
+        )
+
+    @cached_property
+    def histogram(self) -> DataFrame:
+        return profile.histogram(self.grid, self.options.bins)
+
+    @cached_property
+    def statistics(self) -> DataFrame:
+        return profile.summary_statistics(self.grid)
+
+    @cached_property
+    def trend(self) -> DataFrame:
+        return profile.linear_trend_from_timestamps(self.grid)
 
 
 def run_pipeline(
     readings: DataFrame, options: PipelineOptions | None = None
-) -> PipelineResult:
-    """All stage outputs; what several stages read is staged once.
+) -> Stages:
+    """All stages over the readings.
 
     An unsafe device or feature name fails the job, as does an unreadable
     payload in corrected mode.
     """
-    options = options or PipelineOptions()
-    devices = reading_operators.group_by_device([readings])
-    features = stage(
-        reading_operators.parse_feature_rows(devices, options.mode).withColumns(
-            {name: checked_series_name(F.col(name)) for name in KEY}
-        ),
-        "features",
-    )
-    series = stage(
-        series_operators.split_numeric_series(features, options.mode), "series"
-    )
-    cleaned = stage(
-        clean.remove_outliers(series, hard_upper_limit=options.hard_upper_limit),
-        "cleaned",
-    )
-    grid = stage(resample.interpolate_series(cleaned, options.points), "grid")
-    return PipelineResult(
-        {
-            "readings": devices,
-            "features": features,
-            "merged": reading_operators.merge_and_sort([features]),
-            "series": series,
-            "cleaned": cleaned,
-            "chart": profile.series_plot_data(cleaned),
-            "verdicts": diagnose.classify_series(cleaned),
-            "epochs": resample.epoch_seconds(cleaned),
-            "grid": grid,
-            "orders": arima.select_arima_order(
-                grid,
-                options.p_max,
-                options.q_max,
-                options.max_differences,
-                points=options.points,
-            ),
-            "histogram": profile.histogram(grid, options.bins),
-            "statistics": profile.summary_statistics(grid),
-            "trend": profile.linear_trend_from_timestamps(grid),
-        },
-        options,
-    )
+    return Stages(readings, options or PipelineOptions())
 
 
-def stage_counts(result: PipelineResult) -> DataFrame:
+def stage_counts(stages: Stages) -> DataFrame:
     """Rows, devices and series behind every data stage."""
 
     def counted(name: str) -> DataFrame:
-        table = result[name]
-        devices = F.count_distinct("sn")
-        series = (
-            F.count_distinct(*KEY)
-            if "feature" in table.columns
-            else F.lit(None).cast("bigint")
-        )
-        return table.agg(
-            F.count("*").alias("rows"), devices.alias("devices"), series.alias("series")
+        table = getattr(stages, name)
+        keys = [key for key in KEY if key in table.columns]
+        # One row per series first: no row is copied for the distinct counts.
+        per_series = table.groupBy(*keys).agg(F.count("*").alias("rows"))
+        series = F.count("*") if len(keys) == len(KEY) else F.lit(None).cast("bigint")
+        return per_series.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.count_distinct("sn").alias("devices"),
+            series.alias("series"),
         ).select(F.lit(STAGE_OUTPUTS[name]).alias("output"), "rows", "devices", "series")
 
-    names = ("readings", "features", "series", "cleaned", "grid")
-    first, *rest = (counted(name) for name in names)
+    first, *rest = (
+        counted(name) for name in ("readings", "features", "series", "cleaned", "grid")
+    )
     for other in rest:
         first = first.unionByName(other)
     return first
 
 
-def write_pipeline(result: PipelineResult, root: str) -> None:
+def write_pipeline(stages: Stages, root: str) -> None:
     """Every stage output below `root`; nothing existing is replaced."""
     for name, output in STAGE_OUTPUTS.items():
         path = f"{root.rstrip('/')}/{output}"
         if name in SERIES_OUTPUTS:
-            write_series(result[name], path)
+            write_series(getattr(stages, name), path)
         else:
-            write_once(result[name], path)
+            write_once(getattr(stages, name), path)

@@ -51,6 +51,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer partitions than cores.
+
+    Only an input of a few file splits qualifies, so the shuffle is bounded by
+    cores times the split size; larger inputs pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def by_range(df: DataFrame, order: Sequence[str], slices: int | None) -> DataFrame:
     """Range-partition on `order`; without a count AQE picks the slice size."""
     return (

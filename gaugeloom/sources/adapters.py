@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeloom.scale import fill_cores
+
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 DATE_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -14,7 +16,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def _event_readings(events: DataFrame, data) -> DataFrame:
-    return events.select(
+    return fill_cores(events).select(
         F.col("user_id").cast("string").alias("sn"),
         F.date_format("ts", DATE_TEXT).alias("date"),
         data.alias("data"),
@@ -65,7 +67,7 @@ def legacy_events_readings(events: DataFrame) -> DataFrame:
 
 def orders_series(orders: DataFrame) -> DataFrame:
     """Order totals per customer: day-grained times, values above the hard limit."""
-    return orders.select(
+    return fill_cores(orders).select(
         F.col("o_custkey").cast("string").alias("sn"),
         F.lit("totalprice").alias("feature"),
         F.date_format("o_orderdate", DATE_TEXT).alias("date"),
@@ -80,7 +82,7 @@ def lineitem_series(lineitem: DataFrame) -> DataFrame:
     No key is unique, so the whole row is the position.
     """
     features = {"quantity": "l_quantity", "price": "l_extendedprice"}
-    return lineitem.select(
+    return fill_cores(lineitem).select(
         F.col("l_suppkey").cast("string").alias("sn"),
         F.date_format("l_shipdate", DATE_TEXT).alias("date"),
         F.struct(
