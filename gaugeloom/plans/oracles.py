@@ -470,6 +470,17 @@ SELECT sn, feature, date, seq, value AS measurement FROM series""",
     "ljung_box_q_lineitem": (
         f"WITH {LINEITEM_SERIES}{_statistic('series')} {_statistic_columns()}"
     ),
+    # The tail 1 - 2/sqrt(pi) * integral of exp(-t^2) by Simpson's rule.
+    "ljung_box": f"""{EVENTS_CLEANED}{_statistic('cleaned')},
+nodes AS (SELECT unnest(range(2001)) AS i),
+integrals AS (
+  SELECT sn, feature, n, q,
+    sum((CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+        * exp(-(q / 2) * (i / 2000.0) * (i / 2000.0))) * sqrt(q / 2) / 6000.0 AS area
+  FROM statistic CROSS JOIN nodes GROUP BY sn, feature, n, q)
+SELECT sn, feature, n, round(q, 6) AS q,
+  round(abs(1 - 2 / sqrt(pi()) * area), 8) AS p_value
+FROM integrals""",
     "classify_series": f"""{EVENTS_CLEANED}{VERDICTS}
 SELECT sn, feature, n, kind, {MESSAGE} AS message,
   kind IN ('signal', 'test_failed') AS should_continue

@@ -422,7 +422,7 @@ def ljung_box_q_lineitem(spark, directory):
 
 
 def ljung_box(spark, directory):
-    """With p-values, which the check SQL has no function for."""
+    """With p-values."""
     return diagnose.ljung_box(_cleaned(spark, directory)).select(
         *KEY, "n", _rounded("q", 6), _rounded("p_value", 8)
     )

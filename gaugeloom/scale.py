@@ -18,9 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Every series fact is copied this often in a spread join, so one series is
-# joined in up to this many tasks (AQE may split those further).
-SALTS = 32
+# Upper limit on the copies of a series fact in a spread join.
+MAX_SALTS = 512
 
 # monotonically_increasing_id() keeps the partition above this bit.
 _PARTITION_BIT = 33
@@ -122,14 +121,19 @@ def spread_join(
     keys: Sequence[str],
     *,
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join many rows per key with at most one fact row per key.
 
-    Salting the rows by their own content spreads a hot key over `salts` tasks.
-    The salt is part of the join key, so a later aggregation shuffles again
-    after a partial aggregate instead of inheriting a hot partition.
+    Salting the rows by their own content spreads a hot key over `salts` tasks,
+    by default as many as there are shuffle partitions. The salt is part of the
+    join key, so a later aggregation shuffles again after a partial aggregate
+    instead of inheriting a hot partition, and AQE stays free to split a salted
+    partition that is still too large.
     """
+    if salts is None:
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = min(tasks, MAX_SALTS)
     own = [name for name in rows.columns if name not in keys]
     salted = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int")

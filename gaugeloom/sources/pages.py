@@ -71,10 +71,11 @@ def read_pages(spark: SparkSession, directory: str) -> DataFrame:
     """Readings of all `SqlData{n}.csv` pages, in page and row order by `seq`.
 
     The unnamed first column of a page is its row index, which makes the order
-    independent of how Spark splits the files.
+    independent of how Spark splits the files. All pages of an export have the
+    columns of its first page.
     """
     check_pages(spark, directory)
-    pages = spark.read.options(enforceSchema="false", **CSV_OPTIONS).csv(directory)
+    pages = spark.read.options(**CSV_OPTIONS).csv(directory)
     page_no = F.regexp_extract(F.col("_metadata.file_name"), PAGE_FILE, 1)
     return _readings(pages, page_no, F.col("_c0"))
 
