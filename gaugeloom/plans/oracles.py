@@ -219,7 +219,7 @@ SELECT sn, feature, n, round(r1, 8) AS r1, round(q, 6) AS q FROM statistic"""
 def _summary(source: str, value: str) -> str:
     return f"""
 SELECT sn, feature, sn || '_' || feature || '.csv' AS file,
-  round(var_samp({value}), 6) AS var, round(avg({value}), 6) AS mean
+  round(var_samp({value}), 6) AS var, round(avg({value}), 9) AS mean
 FROM {source} GROUP BY sn, feature"""
 
 
@@ -592,7 +592,7 @@ UNION ALL SELECT 'DataProcess9', count(*), count(DISTINCT sn),
   count(DISTINCT (sn, feature)) FROM grid""",
     "stage_outputs": f"""{EVENTS_GRID}{VERDICTS}
 SELECT g.sn, g.feature, g.sn || '_' || g.feature || '.csv' AS file, v.kind,
-  round(var_samp(data), 6) AS var, round(avg(data), 6) AS mean,
+  round(var_samp(data), 6) AS var, round(avg(data), 9) AS mean,
   round(regr_slope(data, time), 10) AS coef
 FROM grid g JOIN verdicts v ON g.sn = v.sn AND g.feature = v.feature
 GROUP BY g.sn, g.feature, v.kind""",

@@ -371,7 +371,7 @@ def interpolate_lineitem(spark, directory):
 
 def summary_statistics(spark, directory):
     return profile.summary_statistics(_grid(spark, directory)).select(
-        *KEY, "file", _rounded("var", 6), _rounded("mean", 6)
+        *KEY, "file", _rounded("var", 6), _rounded("mean", 9)
     )
 
 
@@ -637,7 +637,7 @@ def stage_outputs(spark, directory):
             "file",
             "kind",
             _rounded("var", 6),
-            _rounded("mean", 6),
+            _rounded("mean", 9),
             _rounded("coef", 10),
         )
     )
@@ -646,7 +646,7 @@ def stage_outputs(spark, directory):
 def series_profile(spark, directory):
     """Readings to statistics: parse, split, clean, summarise."""
     return profile.summary_statistics(_cleaned(spark, directory), "value").select(
-        *KEY, "file", _rounded("var", 6), _rounded("mean", 6)
+        *KEY, "file", _rounded("var", 6), _rounded("mean", 9)
     )
 
 

@@ -82,6 +82,7 @@ def number_rows(
     The rows are sorted by range, written once so slice membership is data and
     no longer depends on a recomputed sample, and numbered by adding the sizes
     of the earlier slices. Per group only one row per slice is ever windowed.
+    The `within` columns must not be NULL.
     """
     keys = [*within, *order]
     placed = stage(
@@ -125,7 +126,8 @@ def spread_join(
 ) -> DataFrame:
     """Join many rows per key with at most one fact row per key.
 
-    Salting the rows by their own content spreads a hot key over `salts` tasks,
+    The rows need a column that tells them apart, or count copies first: mass
+    copies share a salt. Salting the rows by their own content spreads a hot key over `salts` tasks,
     by default as many as there are shuffle partitions. The salt is part of the
     join key, so a later aggregation shuffles again after a partial aggregate
     instead of inheriting a hot partition, and AQE stays free to split a salted
