@@ -14,21 +14,45 @@ def drop_nulls(series: DataFrame) -> DataFrame:
     return series.na.drop(subset=["date", "value"])
 
 
-def split_numeric_series(features: DataFrame, mode: Mode) -> DataFrame:
+def split_numeric_series(
+    features: DataFrame, mode: Mode, *, booleans: bool = False
+) -> DataFrame:
     """Long `(sn, feature, date, seq, value)` rows with a double value.
 
-    Corrected mode reads each cell on its own. Legacy mode keeps or drops whole
-    series, see `legacy_float_series`.
+    Corrected mode reads each cell on its own; with `booleans` it also reads
+    series of nothing but true and false as 1 and 0, which takes another pass
+    over `features`. Legacy mode keeps or drops whole series, see
+    `legacy_float_series`, and always drops booleans.
     """
     cells = features.where(~F.col("feature").isin(*RESERVED_COLUMNS)).select(
         *KEY, "date", "seq", numeric_value(F.col("value")).alias("value")
     )
     numeric = drop_nulls(cells)
     if mode is Mode.CORRECTED:
-        return numeric
+        return numeric.unionByName(_boolean_rows(features)) if booleans else numeric
     return spread_join(numeric, legacy_float_series(features), KEY, how="left_semi")
 
 
+def _boolean_rows(features: DataFrame) -> DataFrame:
+    """Rows of the series whose present cells are all true or false, as 1 or 0."""
+    word = F.lower("value")
+    is_word = word.isin("true", "false")
+    cells = features.where(~F.col("feature").isin(*RESERVED_COLUMNS))
+    pure = (
+        cells.where(~is_missing(F.col("value")))
+        .groupBy(*KEY)
+        .agg(F.count("*").alias("present"), F.count_if(is_word).alias("words"))
+        .where(F.col("words") == F.col("present"))
+        .select(*KEY)
+    )
+    rows = drop_nulls(
+        cells.where(is_word).select(
+            *KEY, "date", "seq", (word == "true").cast("double").alias("value")
+        )
+    )
+    return spread_join(rows, pure, KEY, how="left_semi")
+
+
 def legacy_float_series(features: DataFrame) -> DataFrame:
     """Series whose column would be read back from CSV as floating point.
 

@@ -300,7 +300,8 @@ binned AS (
   FROM guessed),
 counted AS (SELECT sn, feature, bin, count(*) AS rows FROM binned GROUP BY ALL),
 every_bin AS (
-  SELECT sn, feature, low, high, unnest(range({HISTOGRAM_BINS})) AS bin FROM edges)"""
+  SELECT sn, feature, low, high, CAST(unnest(range({HISTOGRAM_BINS})) AS INTEGER) AS bin
+  FROM edges)"""
 
 CONSTANT, FIRST, SECOND, THIRD = CRITICAL_5_PERCENT
 
@@ -404,6 +405,21 @@ WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL""",
     "split_numeric_legacy": f"""WITH {LEGACY_FEATURES}, {FLOAT_SERIES}
 SELECT l.sn, l.feature, l.date, l.seq, CAST(l.value AS DOUBLE) AS value
 FROM legacy_features l JOIN float_series f ON l.sn = f.sn AND l.feature = f.feature""",
+    "split_numeric_booleans": f"""WITH {READINGS},
+cells AS (
+  SELECT r.sn, r.date, r.seq, f.feature,
+    CASE f.feature WHEN 'state' THEN CASE WHEN event_type <> 'error' THEN value END
+                   END AS number,
+    CASE WHEN f.feature = 'state' THEN CASE WHEN event_type = 'error' THEN 1.0 END
+         WHEN value > 25 THEN 1.0 ELSE 0.0 END AS flag
+  FROM readings r JOIN events e ON r.seq = e.event_id
+  CROSS JOIN (VALUES ('flag'), ('paid'), ('state')) AS f(feature)
+  WHERE f.feature <> 'paid' OR event_type = 'purchase'),
+marked AS (
+  SELECT *, count(number) OVER (PARTITION BY sn, feature) AS numbers FROM cells)
+SELECT sn, feature, date, seq,
+  CAST(CASE WHEN numbers = 0 THEN flag ELSE number END AS DOUBLE) AS value
+FROM marked WHERE numbers = 0 OR number IS NOT NULL""",
     "legacy_float_series": f"""WITH {LEGACY_FEATURES}, {FLOAT_SERIES}
 SELECT sn, feature FROM float_series""",
     "legacy_quantile": f"WITH {SERIES}{QUARTILES} {_quantile_columns()}",

@@ -269,6 +269,13 @@ def split_numeric_legacy(spark, directory):
     return series.split_numeric_series(features, Mode.LEGACY)
 
 
+def split_numeric_booleans(spark, directory):
+    """Series of JSON booleans become 1 and 0 unless numbers are among them."""
+    flagged = adapters.flagged_events_readings(_events(spark, directory))
+    features = stage(readings.parse_feature_rows(flagged, Mode.CORRECTED), "features")
+    return series.split_numeric_series(features, Mode.CORRECTED, booleans=True)
+
+
 def legacy_float_series(spark, directory):
     features = stage(_legacy_features(spark, directory), "features")
     return series.legacy_float_series(features)
@@ -676,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "drop_nulls": drop_nulls,
     "split_numeric_corrected": split_numeric_corrected,
     "split_numeric_legacy": split_numeric_legacy,
+    "split_numeric_booleans": split_numeric_booleans,
     "legacy_float_series": legacy_float_series,
     "legacy_quantile": legacy_quantile,
     "legacy_quantile_lineitem": legacy_quantile_lineitem,

@@ -67,7 +67,9 @@ class Stages:
     @cached_property
     def series(self) -> DataFrame:
         return stage(
-            series_operators.split_numeric_series(self.features, self.options.mode),
+            series_operators.split_numeric_series(
+                self.features, self.options.mode, booleans=True
+            ),
             "series",
         )
 

@@ -43,6 +43,27 @@ def events_readings(events: DataFrame) -> DataFrame:
     return _event_readings(events, data)
 
 
+def flagged_events_readings(events: DataFrame) -> DataFrame:
+    """Payload `{"flag": true, "state": 6.55}` with booleans.
+
+    `flag` is always a boolean; `paid` too, but only purchases have it; `state`
+    is `true` for errors and the value otherwise.
+    """
+    high = F.when(F.col("value") > 25, F.lit("true")).otherwise(F.lit("false"))
+    is_error = F.col("event_type") == "error"
+    data = F.concat(
+        F.lit('{"flag": '),
+        high,
+        F.lit(', "state": '),
+        F.when(is_error, F.lit("true")).otherwise(F.col("value").cast("string")),
+        F.when(
+            F.col("event_type") == "purchase", F.concat(F.lit(', "paid": '), high)
+        ).otherwise(F.lit("")),
+        F.lit("}"),
+    )
+    return _event_readings(events, data)
+
+
 def legacy_events_readings(events: DataFrame) -> DataFrame:
     """Old payload text `{u'k':u'69',u'value':u'6.55',u'label':u'error'}`.
 

@@ -102,6 +102,34 @@ def test_corrected_reads_each_cell(spark):
     assert [r.value for r in kept.orderBy("seq").collect()] == [1.5, 2.5, float("inf"), 1000.0]
 
 
+def test_boolean_columns(spark):
+    features = features_of(
+        spark,
+        {
+            "pure": ["True", "false", "TRUE"],
+            "gap": ["True", None, "False"],
+            "missing": ["True", "NA", "False"],
+            "number": ["True", "1.5", "False"],
+            "text": ["True", "x", "False"],
+        },
+    )
+
+    def found(**options):
+        rows = series.split_numeric_series(features, Mode.CORRECTED, **options)
+        result = {}
+        for row in rows.orderBy("seq").collect():
+            result.setdefault(row.feature, []).append(row.value)
+        return result
+
+    assert found() == {"number": [1.5]}
+    assert found(booleans=True) == {
+        "pure": [1, 0, 1],
+        "gap": [1, 0],
+        "missing": [1, 0],
+        "number": [1.5],
+    }
+
+
 @pytest.mark.parametrize(
     "name, valid",
     [
