@@ -51,11 +51,11 @@ MAX_NAME_LENGTH = 128
 
 
 def numeric_value(text: Column) -> Column:
-    """The number a text stands for, else NULL.
+    """The number behind a text that matches `NUMERIC_TEXT`.
 
-    The pattern guards the cast, which would also read `1d` or `1.5f`.
+    Check the pattern first: the cast alone would also read `1d` or `1.5f`.
     """
-    return F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("double"))
+    return F.trim(text).try_cast("double")
 
 
 def is_missing(text: Column) -> Column:

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.text import INTEGER_TEXT, is_missing, numeric_value
+from gaugeloom.functions.text import (
+    INTEGER_TEXT,
+    NUMERIC_TEXT,
+    is_missing,
+    numeric_value,
+)
 from gaugeloom.scale import spread_join
 from gaugeloom.schema import KEY, RESERVED_COLUMNS, Mode
 
@@ -24,10 +29,13 @@ def split_numeric_series(
     over `features`. Legacy mode keeps or drops whole series, see
     `legacy_float_series`, and always drops booleans.
     """
-    cells = features.where(~F.col("feature").isin(*RESERVED_COLUMNS)).select(
-        *KEY, "date", "seq", numeric_value(F.col("value")).alias("value")
-    )
-    numeric = drop_nulls(cells)
+    # Filtering on the text keeps the conversion out of the filter, where it
+    # would be computed a second time.
+    numeric = features.where(
+        ~F.col("feature").isin(*RESERVED_COLUMNS)
+        & F.col("date").isNotNull()
+        & F.col("value").rlike(NUMERIC_TEXT)
+    ).select(*KEY, "date", "seq", numeric_value(F.col("value")).alias("value"))
     if mode is Mode.CORRECTED:
         return numeric.unionByName(_boolean_rows(features)) if booleans else numeric
     return spread_join(numeric, legacy_float_series(features), KEY, how="left_semi")
@@ -67,7 +75,7 @@ def legacy_float_series(features: DataFrame) -> DataFrame:
         .groupBy(*KEY)
         .agg(
             F.count_if(present).alias("present"),
-            F.count_if(present & numeric_value(value).isNotNull()).alias("numeric"),
+            F.count_if(present & value.rlike(NUMERIC_TEXT)).alias("numeric"),
             F.count_if(present & value.rlike(INTEGER_TEXT)).alias("integer"),
         )
     )
