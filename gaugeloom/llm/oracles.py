@@ -30,11 +30,11 @@ WITH bytes AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS body,
            octet_length(encode(coalesce(text, ''))) AS n FROM documents
 ), windows AS (
-    SELECT doc_id, place, md5_number(substr(body, (2 * place + 1)::BIGINT, 800)) AS window
+    SELECT doc_id, place, md5_number(substr(body, (2 * place + 1)::BIGINT, 800)) AS gram
     FROM bytes, unnest(range(n - 399)) AS t(place) WHERE n >= 400
 ), starts AS (
     SELECT doc_id, place FROM windows
-    WHERE window IN (SELECT window FROM windows GROUP BY window HAVING count(*) > 1)
+    WHERE gram IN (SELECT gram FROM windows GROUP BY gram HAVING count(*) > 1)
 ), steps AS (
     SELECT doc_id, place, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM starts
 ), marked AS (
@@ -103,7 +103,17 @@ WITH RECURSIVE sized AS (
     SELECT source, source_size, least(c.size * weight_of / c.weight, (3 * source_size)::DOUBLE) AS target
     FROM (SELECT source, source_size, weight AS weight_of FROM sources), settled c
 )
-SELECT doc_id, size, source_size, target FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+
+, ranked AS (
+    SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+           row_number() OVER (PARTITION BY sized.source ORDER BY size, doc_id) AS place,
+           ('0x' || substr(md5((sized.source IS NULL)::INT || ':' || coalesce(sized.source, '')), 1, 8))::BIGINT
+               / 4294967296.0::DOUBLE AS shift
+    FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate * place + shift) - floor(rate * (place - 1) + shift)))::BIGINT AS taken
+FROM ranked
 """
 
 JACCARD = r"""
@@ -140,4 +150,5 @@ ORACLES = {
     "op5_line_dedup": LINES,
     "op6_jaccard_join": JACCARD,
     "op7_phrase_dedup": PHRASES,
+    "op8_source_mixing": MIXING,
 }
