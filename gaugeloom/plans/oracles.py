@@ -5,7 +5,7 @@ from __future__ import annotations
 from gaugeloom.functions.arma import CRITICAL_5_PERCENT
 from gaugeloom.operators.diagnose import CHI_SQUARED_95, MESSAGES
 from gaugeloom.plans.queries import PAGE, POINTS
-from gaugeloom.schema import HARD_UPPER_LIMIT, HISTOGRAM_BINS, MAX_DIFFERENCES
+from gaugeloom.schema import HARD_UPPER_LIMIT, HISTOGRAM_BINS
 
 # --- shared steps: each names one common table expression --------------------
 
@@ -571,7 +571,6 @@ FROM ranked WHERE place = 1""",
     "unexpected_keys": _key_difference(
         "orders", "o_orderkey", "lineitem", "l_orderkey", "unexpected"
     ),
-    "schema_diff": "SELECT '.' AS path, 'header' AS kind",
     "row_count_diff": """
 SELECT '.' AS path, 'row_count' AS kind, CAST(e AS VARCHAR) AS expected,
   CAST(a AS VARCHAR) AS actual
@@ -594,7 +593,7 @@ SELECT CAST(doc_id AS VARCHAR) AS path, sha256(text) AS expected,
 FROM documents WHERE text <> lower(text)""",
     "compare_tables": f"""{CELLS}
 SELECT CAST(event_id AS VARCHAR) AS path, column_no, 'value' AS kind, expected, actual
-FROM unequal ORDER BY path, column_no LIMIT {MAX_DIFFERENCES}""",
+FROM unequal""",
     "stage_counts": f"""{EVENTS_GRID}
 SELECT 'DataProcess1' AS output, count(*) AS rows, count(DISTINCT sn) AS devices,
   CAST(NULL AS BIGINT) AS series FROM readings

@@ -84,7 +84,7 @@ class Stages:
 
     @cached_property
     def chart(self) -> DataFrame:
-        return profile.series_plot_data(self.cleaned)
+        return profile.series_points(self.cleaned)
 
     @cached_property
     def verdicts(self) -> DataFrame:

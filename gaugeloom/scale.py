@@ -11,35 +11,34 @@ or above gathers a whole series in a window or a join task:
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Upper limit on the copies of a series fact in a spread join.
-MAX_SALTS = 512
-
 # monotonically_increasing_id() keeps the partition above this bit.
 _PARTITION_BIT = 33
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for staged tables: the cluster's own, or a private one in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gaugeloom-"))
-    return context.getCheckpointDir()
+    """Folder for staged tables that all executors share.
+
+    The cluster names it in `spark.checkpoint.dir`; where that is unset, the
+    session's warehouse holds them.
+    """
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/gaugeloom/{label}-{uuid.uuid4().hex}"
+    """A new place in the application's own folder, which goes when it ends."""
+    context = spark.sparkContext
+    own = f"{shared_folder(spark).rstrip('/')}/gaugeloom/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -50,16 +49,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer partitions than cores.
-
-    Only an input of a few file splits qualifies, so the shuffle is bounded by
-    cores times the split size; larger inputs pass through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def by_range(df: DataFrame, order: Sequence[str], slices: int | None) -> DataFrame:
     """Range-partition on `order`; without a count AQE picks the slice size."""
     return (
@@ -134,8 +123,7 @@ def spread_join(
     partition that is still too large.
     """
     if salts is None:
-        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = min(tasks, MAX_SALTS)
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = [name for name in rows.columns if name not in keys]
     salted = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int")

@@ -60,6 +60,8 @@ def jdbc_options(
         "connectTimeout": str(connect_timeout_seconds),
         "fetchsize": str(fetch_rows),
     }
+    if key is None and partitions > 1:
+        raise ValueError("several partitions need a key")
     if key is not None:
         if lower is None or upper is None:
             raise ValueError("a partitioned read needs both key bounds")
