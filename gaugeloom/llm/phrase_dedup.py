@@ -15,6 +15,7 @@ counts as the largest.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -60,33 +61,54 @@ def _find(words: int, gram: int):
     return find
 
 
+def _located(passages: dict[tuple, int], words: int) -> dict[tuple, list[tuple[int, int]]]:
+    """For each passage and its least document, the runs of windows that start in an earlier one.
+
+    Windows found in two passages are confirmed and compiled; every passage of the
+    shard is streamed through the automaton.
+    """
+    letters = _Letters()
+    texts = {key: "".join([letters[word] for word in key[2].split()]) for key in passages}
+    first: dict[str, int] = {}
+    confirmed: dict[str, int] = {}
+    for key, doc in passages.items():
+        text = texts[key]
+        for place in range(key[1]):
+            window = text[place : place + words]
+            known = first.setdefault(window, doc)
+            if known != doc:
+                confirmed[window] = first[window] = min(known, doc)
+    if not confirmed:
+        return {}
+    automaton = ahocorasick.Automaton()
+    for window, doc in confirmed.items():
+        automaton.add_word(window, doc)
+    automaton.make_automaton()
+    out = {}
+    for key, doc in passages.items():
+        found = [end - words + 1 for end, owner in automaton.iter(texts[key]) if owner < doc]
+        if found:
+            out[key] = [(int(a), int(b)) for a, b in zip(*recurring.runs_of(np.array(found)), strict=True)]
+    return out
+
+
 def _resolve(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for group in recurring.bucket_groups(batches, lambda row: row[4] / SHARD_WINDOWS):
-        letters = _Letters()
-        passages = ["".join([letters[word] for word in row[5].split()]) for row in group]
-        first: dict[str, int] = {}
-        confirmed: dict[str, int] = {}
-        for row, passage in zip(group, passages, strict=True):
-            doc = row[1]
-            for place in range(row[4]):
-                window = passage[place : place + words]
-                known = first.setdefault(window, doc)
-                if known != doc:
-                    confirmed[window] = first[window] = min(known, doc)
-        if not confirmed:
-            continue
-        automaton = ahocorasick.Automaton()
-        for window, doc in confirmed.items():
-            automaton.add_word(window, doc)
-        automaton.make_automaton()
+        # Equal passages under an anchor are streamed once; all but those of the least
+        # document lose every window.
+        places: dict[tuple, list] = defaultdict(list)
+        for anchor, doc, tid, start, n, body in group:
+            places[anchor, n, body].append((doc, tid, start))
+        kinds = Counter(anchor for anchor, _, _ in places)
+        shared = {key: min(found)[0] for key, found in places.items() if kinds[key[0]] > 1}
+        located = _located(shared, words) if shared else {}
         out = []
-        for (_, doc, tid, start, _, _), passage in zip(group, passages, strict=True):
-            found = [end - words + 1 for end, owner in automaton.iter(passage) if owner < doc]
-            if found:
-                out.extend(
-                    (doc, tid, start + int(low), start + int(high) + words)
-                    for low, high in zip(*recurring.runs_of(np.array(found)), strict=True)
-                )
+        for key, found in places.items():
+            least = min(found)[0]
+            early = located.get(key, ())
+            for doc, tid, start in found:
+                spans = [(0, key[1] - 1)] if doc > least else early
+                out.extend((doc, tid, start + low, start + high + words) for low, high in spans)
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, pa.int64()) for column in zip(*out, strict=True)], ["_doc", "_tid", "first", "last"]
