@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from gaugeloom.llm.hashing import rightmost_minima
 from gaugeloom.llm.tables import slices
 
-# Occurrences of one anchor that a single task resolves together.
-HOT_ANCHOR = 4096
+# Occurrences of one anchor that a single task resolves together: with the text
+# under a run below 1 kB, 16 MB at most.
+HOT_ANCHOR = 16_384
 
 ANCHORS = "anchor long, _doc long, n long"
 REGIONS = "anchor long, _doc long, _tid long, first long, n long, body binary, window binary"
