@@ -97,33 +97,32 @@ def _resolve(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
         # Equal passages under an anchor are streamed once; all but those of the least
         # document lose every window.
         places: dict[tuple, list] = defaultdict(list)
-        for anchor, doc, tid, start, n, body in group:
-            places[anchor, n, body].append((doc, tid, start))
+        for anchor, doc, tid, starts, n, body in group:
+            places[anchor, n, body].extend((doc, tid, start) for start in starts)
         kinds = Counter(anchor for anchor, _, _ in places)
         shared = {key: min(found)[0] for key, found in places.items() if kinds[key[0]] > 1}
         located = _located(shared, words) if shared else {}
-        out = []
+        out: dict[tuple, list] = defaultdict(list)
         for key, found in places.items():
             least = min(found)[0]
             early = located.get(key, ())
             for doc, tid, start in found:
                 spans = [(0, key[1] - 1)] if doc > least else early
-                out.extend((doc, tid, start + low, start + high + words) for low, high in spans)
+                if spans:
+                    out[doc, tid].extend((start + low, start + high + words) for low, high in spans)
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.int64()) for column in zip(*out, strict=True)], ["_doc", "_tid", "first", "last"]
-            )
+            yield recurring.span_rows(out)
 
 
 def repeated_spans(docs: DataFrame, words: int = WORDS, hot: int = recurring.HOT_ANCHOR) -> DataFrame:
-    """(_doc, _tid, first, last): word spans of `keyed` documents to remove."""
+    """(_doc, _tid, spans): word spans of `keyed` documents to remove."""
     if words < 2 * GRAM:
         raise ValueError(f"words: at least {2 * GRAM}")
     find = _find(words, GRAM)
     found = stage(recurring.regions(docs, find, other_document=True, hot=hot), "passages")
     cold = (
         found.filter(F.col("body").isNotNull())
-        .select("anchor", "_doc", "_tid", "first", "n", "body")
+        .select("anchor", "_doc", "_tid", "firsts", "n", "body")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(lambda batches: _resolve(batches, words), recurring.SPANS)

@@ -14,8 +14,10 @@ own, named by a 128-bit hash, and rows are counted with a map-side combine too.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ from gaugeloom.llm.tables import slices
 HOT_ANCHOR = 16_384
 
 ANCHORS = "anchor long, _doc long, n long"
-REGIONS = "anchor long, _doc long, _tid long, first long, n long, body binary, window binary"
-SPANS = "_doc long, _tid long, first long, last long"
+REGIONS = "anchor long, _doc long, _tid long, firsts array<long>, n long, body binary, window binary"
+SPANS = "_doc long, _tid long, spans array<struct<first:long,last:long>>"
+SPAN_LIST = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
 @dataclass(frozen=True)
@@ -90,8 +93,6 @@ def region_rows(batches: Iterator[pa.RecordBatch], find) -> Iterator[pa.RecordBa
     `find` returns the runs and `cut(run, first window, windows)`, the bytes under
     those windows; hot runs give one row per window with its 128-bit name only.
     """
-    from hashlib import blake2b
-
     for batch in batches:
         docs, tids = batch.column("_doc").to_numpy(), batch.column("_tid").to_numpy()
         hits = batch.column("_hits")
@@ -105,23 +106,30 @@ def region_rows(batches: Iterator[pa.RecordBatch], find) -> Iterator[pa.RecordBa
             hot = flat.field("hot").to_numpy(zero_copy_only=False)
             cold_runs = _listed(runs, row[~hot], anchor[~hot])
             hot_runs = _listed(runs, row[hot], anchor[hot])
-            out = [
-                (int(runs.anchor[i]), int(docs[low + runs.row[i]]), int(tids[low + runs.row[i]]),
-                 int(runs.first[i]), int(runs.n[i]), cut(i, 0, int(runs.n[i])), None)
-                for i in cold_runs
-            ]
+            # A text that repeats a stretch many times sends it once, with its places.
+            found: dict[tuple, list[int]] = defaultdict(list)
+            for i in cold_runs:
+                n = int(runs.n[i])
+                found[int(runs.row[i]), int(runs.anchor[i]), n, cut(i, 0, n), None].append(int(runs.first[i]))
             for i in hot_runs:
-                doc, tid, first = int(docs[low + runs.row[i]]), int(tids[low + runs.row[i]]), int(runs.first[i])
-                out.extend(
-                    (int(runs.anchor[i]), doc, tid, first + k, 1, None, blake2b(cut(i, k, 1), digest_size=16).digest())
-                    for k in range(int(runs.n[i]))
-                )
-            if out:
-                columns = list(zip(*out, strict=True))
-                kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+                row, anchor_, first = int(runs.row[i]), int(runs.anchor[i]), int(runs.first[i])
+                for k in range(int(runs.n[i])):
+                    name = blake2b(cut(i, k, 1), digest_size=16).digest()
+                    found[row, anchor_, 1, None, name].append(first + k)
+            if found:
+                rows, anchors, counts, bodies, windows = zip(*found, strict=True)
+                places = low + np.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
-                    ["anchor", "_doc", "_tid", "first", "n", "body", "window"],
+                    [
+                        pa.array(anchors, pa.int64()),
+                        pa.array(docs[places]),
+                        pa.array(tids[places]),
+                        pa.array(found.values(), pa.list_(pa.int64())),
+                        pa.array(counts, pa.int64()),
+                        pa.array(bodies, pa.binary()),
+                        pa.array(windows, pa.binary()),
+                    ],
+                    ["anchor", "_doc", "_tid", "firsts", "n", "body", "window"],
                 )
 
 
@@ -166,13 +174,14 @@ def regions(docs: DataFrame, find, *, other_document: bool, hot: int = HOT_ANCHO
 def hot_spans(found: DataFrame, reach: int, *, other_document: bool) -> DataFrame:
     """Repeated windows among the single-window rows of hot anchors."""
     single = found.filter(F.col("window").isNotNull())
-    facts = single.groupBy("window").agg(F.count("*").alias("_n"), F.min("_doc").alias("_low"))
+    facts = single.groupBy("window").agg(F.sum(F.size("firsts")).alias("_n"), F.min("_doc").alias("_low"))
     repeated = F.col("_doc") > F.col("_low") if other_document else F.col("_n") > 1
+    spans = F.transform("firsts", lambda first: F.struct(first.alias("first"), (first + reach).alias("last")))
     return (
-        single.select("window", "_doc", "_tid", "first")
+        single.select("window", "_doc", "_tid", "firsts")
         .join(facts, "window")
         .filter(repeated)
-        .select("_doc", "_tid", "first", (F.col("first") + reach).alias("last"))
+        .select("_doc", "_tid", spans.alias("spans"))
     )
 
 
@@ -185,7 +194,7 @@ def bucket_groups(batches: Iterator[pa.RecordBatch], size) -> Iterator[list[tupl
     group: list[tuple] = []
     weight, last = 0.0, None
     for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in ("anchor", "_doc", "_tid", "first", "n", "body")]
+        columns = [batch.column(name).to_pylist() for name in ("anchor", "_doc", "_tid", "firsts", "n", "body")]
         for row in zip(*columns, strict=True):
             if weight >= 1 and row[0] != last:
                 yield group
@@ -197,9 +206,22 @@ def bucket_groups(batches: Iterator[pa.RecordBatch], size) -> Iterator[list[tupl
         yield group
 
 
+def span_rows(found: dict[tuple[int, int], list[tuple[int, int]]]) -> pa.RecordBatch:
+    """Rows of SPANS from the spans of each (document, text)."""
+    spans = [[{"first": low, "last": high} for low, high in own] for own in found.values()]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([doc for doc, _ in found], pa.int64()),
+            pa.array([tid for _, tid in found], pa.int64()),
+            pa.array(spans, SPAN_LIST),
+        ],
+        ["_doc", "_tid", "spans"],
+    )
+
+
 def spans_by_document(spans: DataFrame) -> DataFrame:
     """One sorted list of spans per document; a document bounds its length."""
-    return spans.groupBy("_doc", "_tid").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("_spans"))
+    return spans.groupBy("_doc", "_tid").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
 
 
 def runs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -203,8 +203,8 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     for group in recurring.bucket_groups(batches, lambda row: len(row[5]) / BLOCK_BYTES):
         # Distinct stretches, by anchor.
         places: dict[tuple, list] = defaultdict(list)
-        for anchor, doc, tid, first, n, body in group:
-            places[anchor, n, body].append((doc, tid, first))
+        for anchor, doc, tid, firsts, n, body in group:
+            places[anchor, n, body].extend((doc, tid, first) for first in firsts)
         kinds: dict[int, int] = defaultdict(int)
         for anchor, _, _ in places:
             kinds[anchor] += 1
@@ -214,7 +214,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             if shared
             else ()
         )
-        out = []
+        out: dict[tuple, list] = defaultdict(list)
         for key, found in places.items():
             if len(found) > 1:
                 spans = [(0, key[1] - 1)]
@@ -222,17 +222,14 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 spans = list(zip(*(x.tolist() for x in recurring.runs_of(windows[key])), strict=True))
             else:
                 continue
-            out.extend(
-                (doc, tid, first + low, first + high + length) for doc, tid, first in found for low, high in spans
-            )
+            for doc, tid, first in found:
+                out[doc, tid].extend((first + low, first + high + length) for low, high in spans)
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.int64()) for column in zip(*out, strict=True)], ["_doc", "_tid", "first", "last"]
-            )
+            yield recurring.span_rows(out)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = recurring.HOT_ANCHOR) -> DataFrame:
-    """(_doc, _tid, first, last): byte spans of `keyed` documents to remove.
+    """(_doc, _tid, spans): byte spans of `keyed` documents to remove.
 
     Spans of one document may overlap. `length` is 160 at least.
     """
@@ -242,7 +239,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = recurring.H
     found = stage(recurring.regions(docs, find, other_document=False, hot=hot), "regions")
     cold = (
         found.filter(F.col("body").isNotNull())
-        .select("anchor", "_doc", "_tid", "first", "n", "body")
+        .select("anchor", "_doc", "_tid", "firsts", "n", "body")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(lambda batches: _resolve(batches, length), recurring.SPANS)
