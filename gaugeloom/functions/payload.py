@@ -23,6 +23,17 @@ QUOTED_PAIR = r'^"[\w\W]*":"[\w\W]*"\z'
 # JSON words whose Python spelling differs.
 PLAIN_WORD = r"true|false|null|NaN|Infinity"
 
+# The pieces of a flat dict literal: quoted text, numbers and words.
+LITERAL_PIECE = (
+    r"(?s)(?:[uU]?'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+    r'|[uU]?"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    r"|[+-]?(?:\d++\.?\d*+|\.\d++)(?:[eE][+-]?\d++)?+|True|False|None)"
+)
+_LITERAL_PAIR = rf"{LITERAL_PIECE}\s*+:\s*+{LITERAL_PIECE}\s*+".replace("(?s)", "")
+FLAT_LITERAL = rf"(?s)^\{{\s*+(?:{_LITERAL_PAIR}(?:,\s*+{_LITERAL_PAIR})*+,?\s*+)?\}}\z"
+
+END_MARK = "end of the payload"
+
 
 def _no_pairs() -> Column:
     return F.array().cast(PAIRS_TYPE)
@@ -93,28 +104,69 @@ def legacy_pairs(data: Column) -> Column:
     ).otherwise(_no_pairs())
 
 
-def _as_json(literal: Column) -> Column:
-    """Rewrite a flat dict literal (u'' prefixes, True/False/None) to JSON."""
-    plain = F.regexp_replace(literal, r"([{,:]\s*)[uU](?=['\"])", "$1")
-    words = F.regexp_replace(
-        plain, r"(:\s*)(True|False|None)(?=\s*[,}])", "$1'$2'"
+def _literal_text(token: Column) -> Column:
+    """Text of one piece of a dict literal; NULL if it holds an unknown escape.
+
+    A quoted piece is spelled as JSON text and decoded as such. An escape counts
+    only behind an even number of backslashes.
+    """
+    body = F.regexp_extract(token, r"(?s)^[uU]?(['\"])(.*)\1\z", 2)
+    for pattern, spelled in (
+        (r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2"),
+        (r"\\'", "$1'"),
+        (r'"', r'$1\\"'),
+        (r"\\(?![\\\"bfnrtu0-7avxNU\n])", r"$1\\\\"),
+    ):
+        body = F.regexp_replace(body, r"((?<!\\)(?:\\\\)*)" + pattern, spelled)
+    text = F.from_json(
+        F.concat(F.lit('["'), body, F.lit('"]')),
+        "array<string>",
+        {"allowUnquotedControlChars": "true"},
+    )
+    return F.when(token.rlike(r"['\"]\z"), F.get(text, 0)).otherwise(token)
+
+
+def literal_pairs(text: Column) -> Column:
+    """Pairs of a flat dict literal as old Python writes it; NULL when it is none.
+
+    The whole text has to fit; its pieces are then names and values in turn.
+    """
+
+    def paired(texts: Column) -> Column:
+        names = F.filter(texts, lambda _, place: place % 2 == 0)
+        pairs = F.transform(
+            names, lambda name, place: _pair(name, F.get(texts, place * 2 + 1))
+        )
+        return F.when(F.forall(texts, lambda piece: piece.isNotNull()), pairs)
+
+    pieces = F.regexp_extract_all(text, F.lit(LITERAL_PIECE), F.lit(0))
+    return F.when(
+        text.rlike(FLAT_LITERAL), _let(F.transform(pieces, _literal_text), paired)
+    )
+
+
+def _whole_object(text: Column) -> Column:
+    """The JSON object that fills the text, as a map; else NULL.
+
+    from_json ignores what follows an object, so it reads a list of the text and
+    an end mark, which is malformed or of another length when more follows.
+    """
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit(',{"' + END_MARK + '":"1"}]')),
+        "array<map<string,string>>",
     )
-    return F.regexp_replace(words, r",\s*\}$", "}")
+    fits = (F.size(listed) == 2) & F.get(listed, 1)[END_MARK].isNotNull()
+    return F.when(text.startswith("{") & text.endswith("}") & fits, F.get(listed, 0))
 
 
 def corrected_pairs(data: Column) -> Column:
     """JSON object, else flat dict literal; NULL when it is neither."""
     text = F.trim(data)
-    # from_json ignores text after the object, so the brackets are checked here.
-    whole = F.when(text.startswith("{") & text.endswith("}"), text)
-    decoded = F.coalesce(
-        F.from_json(whole, "map<string,string>"),
-        F.from_json(_as_json(whole), "map<string,string>"),
-    )
+    decoded = _whole_object(text)
     pairs = F.when(
         text.rlike(PLAIN_WORD), _let(decoded, lambda read: _spelled_out(text, read))
     ).otherwise(F.map_entries(decoded).cast(PAIRS_TYPE))
-    return _last_value_wins(pairs)
+    return _last_value_wins(F.coalesce(pairs, literal_pairs(text)))
 
 
 def _spelled_out(text: Column, decoded: Column) -> Column:

@@ -133,7 +133,7 @@ def outlier_bounds(
     values = _value_slices(series, slices)
     bounds = _with_bounds(_quantiles(values, (1, 3)))
     dropped = (
-        spread_join(values, bounds.select(*KEY, "lower", "upper"), KEY)
+        spread_join(values, bounds.select(*KEY, "n", "lower", "upper"), KEY, size="n")
         .where(~_inside(hard_upper_limit))
         .groupBy(*KEY)
         .agg(F.sum("copies").alias("n_dropped"))
@@ -154,7 +154,7 @@ def remove_outliers(
     """
     bounds = _with_bounds(_quantiles(_value_slices(series, slices), (1, 3)))
     return (
-        spread_join(series, bounds.select(*KEY, "lower", "upper"), KEY)
+        spread_join(series, bounds.select(*KEY, "n", "lower", "upper"), KEY, size="n")
         .where(_inside(hard_upper_limit))
         .select(*series.columns)
     )

@@ -49,17 +49,19 @@ def parse_feature_rows(
 ) -> DataFrame:
     """One row per reading and payload entry; readings without entries vanish.
 
-    Every reading that yields rows yields exactly one with `pos` 0.
+    Entries with a reserved column's name are dropped. Every reading that yields rows yields exactly one with `pos` 0.
     """
+    entries = F.filter(
+        parse_payload(F.col("data"), mode, strict=strict),
+        lambda entry: ~entry["feature"].isin(*RESERVED_COLUMNS),
+    )
     return readings.select(
         "sn",
         "date",
         "seq",
         "slave_id",
         "type_id",
-        F.posexplode(parse_payload(F.col("data"), mode, strict=strict)).alias(
-            "pos", "entry"
-        ),
+        F.posexplode(entries).alias("pos", "entry"),
     ).select(
         "sn",
         "date",
@@ -110,11 +112,13 @@ def merge_and_sort(
 ) -> DataFrame:
     """Union chunks and number each device's rows by date text, then position.
 
-    Date text sorts like time only when it is zero-padded, as in the source.
+    Rows without a date come last; entries of one reading keep their order. Date text sorts like time only when it is zero-padded, as in the source.
     """
     together = reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True), chunks
     )
+    undated = together.withColumn("_undated", F.col("date").isNull())
+    order = ["_undated", "date", "seq", *(["pos"] if "pos" in together.columns else [])]
     return number_rows(
-        together, ("date", "seq"), within=("sn",), name="position", slices=slices
-    )
+        undated, order, within=("sn",), name="position", slices=slices
+    ).drop("_undated")

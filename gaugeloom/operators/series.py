@@ -38,7 +38,9 @@ def split_numeric_series(
     ).select(*KEY, "date", "seq", numeric_value(F.col("value")).alias("value"))
     if mode is Mode.CORRECTED:
         return numeric.unionByName(_boolean_rows(features)) if booleans else numeric
-    return spread_join(numeric, legacy_float_series(features), KEY, how="left_semi")
+    return spread_join(
+        numeric, _float_series(features), KEY, size="present", how="left_semi"
+    )
 
 
 def _boolean_rows(features: DataFrame) -> DataFrame:
@@ -51,14 +53,14 @@ def _boolean_rows(features: DataFrame) -> DataFrame:
         .groupBy(*KEY)
         .agg(F.count("*").alias("present"), F.count_if(is_word).alias("words"))
         .where(F.col("words") == F.col("present"))
-        .select(*KEY)
+        .select(*KEY, "words")
     )
     rows = drop_nulls(
         cells.where(is_word).select(
             *KEY, "date", "seq", (word == "true").cast("double").alias("value")
         )
     )
-    return spread_join(rows, pure, KEY, how="left_semi")
+    return spread_join(rows, pure, KEY, size="words", how="left_semi")
 
 
 def legacy_float_series(features: DataFrame) -> DataFrame:
@@ -68,6 +70,11 @@ def legacy_float_series(features: DataFrame) -> DataFrame:
     present cell is a number and either one is not an integer or some row of
     the device lacks the feature. Whole integer columns were lost.
     """
+    return _float_series(features).select(*KEY)
+
+
+def _float_series(features: DataFrame) -> DataFrame:
+    """The series of `legacy_float_series` with their number of present cells."""
     value = F.col("value")
     present = ~is_missing(value)
     columns = (
@@ -92,7 +99,7 @@ def legacy_float_series(features: DataFrame) -> DataFrame:
                 | (F.col("present") < F.col("rows"))
             )
         )
-        .select(*KEY)
+        .select(*KEY, "present")
     )
 
 

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from gaugeloom.functions.arma import CRITICAL_5_PERCENT
-from gaugeloom.operators.diagnose import CHI_SQUARED_95, MESSAGES
 from gaugeloom.plans.queries import PAGE, POINTS
-from gaugeloom.schema import HARD_UPPER_LIMIT, HISTOGRAM_BINS
+
+# Fixed values, written out so that a wrong one in the engine shows.
+HARD_UPPER_LIMIT = 62_100.0
+HISTOGRAM_BINS = 256
+CHI_SQUARED_95 = 3.841458820694124
+CONSTANT, FIRST, SECOND, THIRD = -2.86154, -2.8903, -4.234, -40.040
+MESSAGES = {
+    "empty": "长度是0，不进一步分析",
+    "zero_variance": "方差是0，不进一步分析",
+    "white_noise": "可能是白噪声，不进一步分析",
+    "signal": "非白噪声且方差非零",
+    "test_failed": "白噪声判定失败",
+}
 
 # --- shared steps: each names one common table expression --------------------
 
@@ -303,8 +313,6 @@ every_bin AS (
   SELECT sn, feature, low, high, CAST(unnest(range({HISTOGRAM_BINS})) AS INTEGER) AS bin
   FROM edges)"""
 
-CONSTANT, FIRST, SECOND, THIRD = CRITICAL_5_PERCENT
-
 ORACLES: dict[str, str] = {
     "series_profile": f"{EVENTS_CLEANED} {_summary('cleaned', 'value')}",
     "read_pages": f"""WITH {READINGS}

@@ -399,7 +399,7 @@ def linear_trend_from_timestamps(spark, directory):
 def histogram(spark, directory):
     """Grid values to 6 digits, so that no bin hangs on the last bit."""
     grid = _grid(spark, directory).withColumn("data", F.round("data", 6))
-    return profile.histogram(grid)
+    return profile.histogram(stage(grid, "grid"))
 
 
 def series_plot_data(spark, directory):
@@ -488,9 +488,7 @@ def arima_bic_grid(spark, directory):
 
 def arima_bic_walk(spark, directory):
     """Random walk and white noise candidates, which have a closed form."""
-    packed = diagnose.pack_series(_grid(spark, directory), POINTS)
-    both = packed.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1))))
-    return arima.candidate_bics(both, 0, 0).select(
+    return arima.closed_form_bics(_grid(spark, directory)).select(
         *KEY, "p", "d", "q", _rounded("bic", 4)
     )
 

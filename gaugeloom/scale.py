@@ -6,7 +6,7 @@ or above gathers a whole series in a window or a join task:
 * `stage` cuts lineage by writing a Parquet table in the shared folder the
   cluster names in `spark.checkpoint.dir`;
 * `number_rows` numbers rows through range-partitioned slices and slice offsets;
-* `spread_join` salts the large side of a rows-with-series-facts join.
+* `spread_join` joins rows with one fact row per series and cuts hot series only.
 """
 
 from __future__ import annotations
@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id() keeps the partition above this bit.
 _PARTITION_BIT = 33
 
+# Rows of one key that a join task takes; the rows of larger keys are spread.
+TASK_ROWS = 1 << 22
+
+# Facts up to this size are sent to every executor.
+BROADCAST_BYTES = 16 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables that all executors share.
@@ -110,25 +116,36 @@ def spread_join(
     facts: DataFrame,
     keys: Sequence[str],
     *,
+    size: str,
     how: str = "inner",
-    salts: int | None = None,
+    task_rows: int = TASK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join many rows per key with at most one fact row per key.
 
-    The rows need a column that tells them apart, or count copies first: mass
-    copies share a salt. Salting the rows by their own content spreads a hot key over `salts` tasks,
-    by default as many as there are shuffle partitions. The salt is part of the
-    join key, so a later aggregation shuffles again after a partial aggregate
-    instead of inheriting a hot partition, and AQE stays free to split a salted
-    partition that is still too large.
+    `size` names the fact column with the key's number of rows, which is left out
+    of the result. The facts are staged and measured: up to `broadcast_bytes` they
+    are broadcast and no row is shuffled. Beyond that only keys of more than
+    `task_rows` rows are cut, in proportion to their size: their rows by content,
+    their fact row once per cut; other fact rows are not copied. The list of these
+    keys has at most one row per `task_rows` rows. The rows need a column that
+    tells them apart: mass copies share a cut.
     """
-    if salts is None:
-        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    facts = stage(facts, "facts")
+    # Keys, and eight bytes for each of the numbers beside them.
+    row_bytes = F.lit(8 * len(facts.columns))
+    for key in keys:
+        row_bytes += F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
+    measured = facts.agg(F.sum(row_bytes)).first()[0] or 0
+    if measured <= broadcast_bytes:
+        return rows.join(F.broadcast(facts.drop(size)), list(keys), how)
+    cuts = F.greatest(F.ceil(F.col(size) / task_rows), F.lit(1))
+    hot = facts.where(F.col(size) > task_rows).select(*keys, cuts.alias("_cuts"))
     own = [name for name in rows.columns if name not in keys]
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int")
+    cut = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_cut", F.coalesce(F.pmod(F.xxhash64(*own), F.col("_cuts")), F.lit(0))
     )
     copies = facts.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        "_cut", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1))
     )
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return cut.drop("_cuts").join(copies.drop(size), [*keys, "_cut"], how).drop("_cut")

@@ -84,6 +84,36 @@ def test_corrected_reads_json_and_flat_literals(spark):
     ]
 
 
+def test_corrected_reads_literals_piece_by_piece(spark):
+    assert parsed(
+        spark,
+        [
+            "{u'a': u'x, u', u'b': u'1'}",
+            "{u'label': u'state: True, ok'}",
+            "{u'a': 'x: None}'}",
+            r"{u'unit': u'\xb0C', u'quote': u'it\'s', u'path': u'c:\\x41'}",
+            """{u'say': u'"hi"', u'own': u"it's"}""",
+            "{1: 2, u'x': -3.5e2}",
+        ],
+        Mode.CORRECTED,
+    ) == [
+        [("a", "x, u"), ("b", "1")],
+        [("label", "state: True, ok")],
+        [("a", "x: None}")],
+        [("unit", "\xb0C"), ("quote", "it's"), ("path", "c:\\x41")],
+        [("say", '"hi"'), ("own", "it's")],
+        [("1", "2"), ("x", "-3.5e2")],
+    ]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"a":1}{"b":2}', '{"a":1} junk }', '{"a":1},{"b":2}', '{"a":1}] x [{"b":2}', "{u'a': u'1'} {u'b': u'2'}", r"{u'a': u'\N{DEGREE SIGN}'}"],
+)
+def test_corrected_reads_the_whole_text(spark, text):
+    assert parsed(spark, [text], Mode.CORRECTED, strict=False) == [None]
+
+
 @pytest.mark.parametrize("text", ["not a mapping", "[1]", "3", "", None, '{"a":1} x', '{"a":'])
 def test_corrected_rejects_other_text(spark, text):
     assert parsed(spark, [text], Mode.CORRECTED, strict=False) == [None]

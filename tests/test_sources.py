@@ -77,10 +77,31 @@ def test_numbering_over_slices(spark, slices):
 
 def test_spread_join_keeps_every_row(spark):
     rows = spark.range(1000).select(F.lit("hot").alias("k"), "id")
-    facts = spark.createDataFrame([("hot", 5), ("cold", 6)], "k string, fact int")
-    joined = spread_join(rows, facts, ["k"])
-    assert joined.count() == 1000 and joined.select("fact").distinct().count() == 1
-    assert spread_join(rows, facts.select("k"), ["k"], how="left_semi").count() == 1000
+    facts = spark.createDataFrame(
+        [("hot", 5, 1000), ("cold", 6, 0), ("none", 7, None)], "k string, fact int, n long"
+    )
+    for task_rows, limit in ((10, 0), (1 << 22, 0), (1 << 22, 1 << 20)):
+        how = {"size": "n", "task_rows": task_rows, "broadcast_bytes": limit}
+        joined = spread_join(rows, facts, ["k"], **how)
+        assert joined.columns == ["k", "id", "fact"]
+        assert joined.count() == 1000 and joined.select("fact").distinct().count() == 1
+        kept = spread_join(rows, facts.select("k", "n"), ["k"], how="left_semi", **how)
+        assert kept.columns == ["k", "id"] and kept.count() == 1000
+
+
+def test_spread_join_copies_the_facts_of_hot_keys_only(spark):
+    """A key with a third of the rows is cut; cold facts stay one row each."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    tags = facts.withColumn("tag", F.spark_partition_id())
+    joined = spread_join(rows, tags, ["k"], size="n", task_rows=100, broadcast_bytes=0)
+    copied = joined._jdf.queryExecution().optimizedPlan().toString()
+    tasks = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct()
+    assert "_cut" in copied and joined.count() == 3000 and tasks.count() > 1
+    small = spread_join(rows, tags, ["k"], size="n")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in small and "hashpartitioning" not in small
 
 
 def write_page(path, number, rows):
