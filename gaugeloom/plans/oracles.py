@@ -602,7 +602,12 @@ FROM documents WHERE text <> lower(text)""",
     "compare_tables": f"""{CELLS}
 SELECT CAST(event_id AS VARCHAR) AS path, column_no, 'value' AS kind, expected, actual
 FROM unequal""",
-    "stage_counts": f"""{EVENTS_GRID}
+    "stage_counts": f"""{EVENTS_GRID}{VERDICTS},
+kept AS (
+  SELECT c.sn, c.feature FROM cleaned c
+  JOIN verdicts v ON c.sn = v.sn AND c.feature = v.feature
+  WHERE kind IN ('signal', 'test_failed')),
+spread AS (SELECT DISTINCT sn, feature FROM grid)
 SELECT 'DataProcess1' AS output, count(*) AS rows, count(DISTINCT sn) AS devices,
   CAST(NULL AS BIGINT) AS series FROM readings
 UNION ALL SELECT 'DataProcess2', count(*), count(DISTINCT sn),
@@ -612,7 +617,17 @@ UNION ALL SELECT 'DataProcess4', count(*), count(DISTINCT sn),
 UNION ALL SELECT 'DataProcess5', count(*), count(DISTINCT sn),
   count(DISTINCT (sn, feature)) FROM cleaned
 UNION ALL SELECT 'DataProcess9', count(*), count(DISTINCT sn),
-  count(DISTINCT (sn, feature)) FROM grid""",
+  count(DISTINCT (sn, feature)) FROM grid
+UNION ALL SELECT 'DataProcess3', count(*), count(DISTINCT sn),
+  count(DISTINCT (sn, feature)) FROM features
+UNION ALL SELECT unnest(['DataProcess6', 'DataProcess8']), count(*), count(DISTINCT sn),
+  count(DISTINCT (sn, feature)) FROM cleaned
+UNION ALL SELECT 'DataProcess7', count(*), count(DISTINCT sn), count(*) FROM verdicts
+UNION ALL SELECT 'DataProcess7Kept', count(*), count(DISTINCT sn),
+  count(DISTINCT (sn, feature)) FROM kept
+UNION ALL SELECT 'DataProcess11', {HISTOGRAM_BINS} * count(*), count(DISTINCT sn), count(*) FROM spread
+UNION ALL SELECT unnest(['DataProcess12', 'DataProcess13']), count(*), count(DISTINCT sn),
+  count(*) FROM spread""",
     "stage_outputs": f"""{EVENTS_GRID}{VERDICTS}
 SELECT g.sn, g.feature, g.sn || '_' || g.feature || '.csv' AS file, v.kind,
   round(var_samp(data), 6) AS var, round(avg(data), 9) AS mean,

@@ -29,6 +29,7 @@ STAGE_OUTPUTS = {
     "cleaned": "DataProcess5",
     "chart": "DataProcess6",
     "verdicts": "DataProcess7",
+    "signals": "DataProcess7Kept",
     "epochs": "DataProcess8",
     "grid": "DataProcess9",
     "orders": "DataProcess10",
@@ -37,7 +38,7 @@ STAGE_OUTPUTS = {
     "trend": "DataProcess13",
 }
 # Outputs with one row per reading or grid point of a series.
-SERIES_OUTPUTS = ("series", "cleaned", "epochs", "grid")
+SERIES_OUTPUTS = ("series", "cleaned", "signals", "epochs", "grid")
 
 
 class Stages:
@@ -139,7 +140,7 @@ def run_pipeline(
 
 
 def stage_counts(stages: Stages) -> DataFrame:
-    """Rows, devices and series behind every data stage."""
+    """Rows, devices and series of every output but the model orders."""
 
     def counted(name: str) -> DataFrame:
         table = getattr(stages, name)
@@ -153,19 +154,34 @@ def stage_counts(stages: Stages) -> DataFrame:
             series.alias("series"),
         ).select(F.lit(STAGE_OUTPUTS[name]).alias("output"), "rows", "devices", "series")
 
-    first, *rest = (
-        counted(name) for name in ("readings", "features", "series", "cleaned", "grid")
-    )
+    # The model orders have a row per grid series; counting them would fit them.
+    first, *rest = (counted(name) for name in STAGE_OUTPUTS if name != "orders")
     for other in rest:
         first = first.unionByName(other)
     return first
 
 
 def write_pipeline(stages: Stages, root: str) -> None:
-    """Every stage output below `root`; nothing existing is replaced."""
-    for name, output in STAGE_OUTPUTS.items():
-        path = f"{root.rstrip('/')}/{output}"
-        if name in SERIES_OUTPUTS:
-            write_series(getattr(stages, name), path)
-        else:
-            write_once(getattr(stages, name), path)
+    """Every stage output below `root`; nothing existing is replaced.
+
+    All targets are checked before any work, and a failure names its output.
+    """
+    paths = {name: f"{root.rstrip('/')}/{output}" for name, output in STAGE_OUTPUTS.items()}
+    context = stages.readings.sparkSession.sparkContext
+    for path in paths.values():
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target):
+            raise FileExistsError(f"output exists: {path}")
+    for name, path in paths.items():
+        try:
+            _write(stages, name, path)
+        except Exception as error:
+            error.add_note(f"while writing {STAGE_OUTPUTS[name]} ({name})")
+            raise
+
+
+def _write(stages: Stages, name: str, path: str) -> None:
+    if name in SERIES_OUTPUTS:
+        write_series(getattr(stages, name), path)
+    else:
+        write_once(getattr(stages, name), path)

@@ -36,9 +36,17 @@ def test_every_stage_has_output(spark, tmp_path, mode):
     assert counts == {
         "DataProcess1": (20, 1, None),
         "DataProcess2": (40, 1, 2),
+        "DataProcess3": (40, 1, 2),
         "DataProcess4": (40, 1, 2),
         "DataProcess5": (40, 1, 2),
+        "DataProcess6": (40, 1, 2),
+        "DataProcess7": (2, 1, 2),
+        "DataProcess7Kept": (40, 1, 2),
+        "DataProcess8": (40, 1, 2),
         "DataProcess9": (64, 1, 2),
+        "DataProcess11": (16, 1, 2),
+        "DataProcess12": (2, 1, 2),
+        "DataProcess13": (2, 1, 2),
     }
     root = str(tmp_path / "out")
     write_pipeline(stages, root)
