@@ -21,13 +21,13 @@ from gaugeloom.operators import (
 )
 from gaugeloom.plans.stages import run_pipeline, stage_counts
 from gaugeloom.scale import new_shared_path, stage
-from gaugeloom.schema import KEY, Mode, PipelineOptions
+from gaugeloom.schema import GRID_POINTS, KEY, Mode, PipelineOptions
 from gaugeloom.sources import adapters, pages, paging, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Grid size of the registered queries; the operators' default is 40,000.
-POINTS = 256
+# Grid size of the registered queries: that of the operators.
+POINTS = GRID_POINTS
 PAGE = 1000
 
 
@@ -257,6 +257,22 @@ def merge_and_sort(spark, directory):
     )
 
 
+def merge_and_sort_all(spark, directory):
+    """A chunk per feature, none left out, behind each other in `seq`."""
+    features = stage(_features(spark, directory), "features")
+    names = [
+        row["feature"]
+        for row in features.select("feature").distinct().orderBy("feature").collect()
+    ]
+    chunks = [
+        readings.pivot_features(features.where(F.col("feature") == name), (name,)).withColumn(
+            "seq", F.col("seq") + F.lit(turn << 40)
+        )
+        for turn, name in enumerate(names)
+    ]
+    return readings.merge_and_sort(chunks).select("sn", "date", "position", *names)
+
+
 # --- series and cleaning -----------------------------------------------------
 
 
@@ -481,7 +497,7 @@ def difference_order(spark, directory):
 
 
 def arima_bic_grid(spark, directory):
-    return arima.arima_bic_grid(_grid(spark, directory), 1, 1, points=POINTS).select(
+    return arima.arima_bic_grid(_grid(spark, directory), points=POINTS).select(
         *KEY, "p", "d", "q", _rounded("bic", 3)
     )
 
@@ -509,7 +525,7 @@ def lowest_bic(spark, directory):
 
 def select_arima_order(spark, directory):
     grid = stage(_grid(spark, directory), "grid")
-    return arima.select_arima_order(grid, 1, 1, points=POINTS).select(
+    return arima.select_arima_order(grid, points=POINTS).select(
         *KEY, "status", "p", "d", "q", _rounded("bic", 3), "tested", "failed", "message"
     )
 
@@ -616,7 +632,7 @@ def compare_tables(spark, directory):
 def _staged(spark, directory):
     return run_pipeline(
         _readings(spark, directory),
-        PipelineOptions(mode=Mode.CORRECTED, points=POINTS, p_max=1, q_max=1),
+        PipelineOptions(mode=Mode.CORRECTED, points=POINTS),
     )
 
 
@@ -671,6 +687,7 @@ QUERIES: dict[str, Query] = {
     "feature_order": feature_order,
     "pivot_features": pivot_features,
     "merge_and_sort": merge_and_sort,
+    "merge_and_sort_all": merge_and_sort_all,
     "drop_nulls": drop_nulls,
     "split_numeric_corrected": split_numeric_corrected,
     "split_numeric_legacy": split_numeric_legacy,

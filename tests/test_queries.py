@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gaugeloom.plans import queries
+from gaugeloom.schema import GRID_POINTS, Mode, PipelineOptions
 from tools.check_queries import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -43,3 +45,48 @@ def test_against_sql(spark, name):
     assert sorted(columns) == sorted(df.columns)
     got = rows_of(df.columns, [tuple(row) for row in df.collect()])
     assert got == rows_of(columns, result.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_queries_use_the_whole_grid(spark):
+    per_series = queries.linspace_grid(spark, FOLDER).groupBy("sn", "feature").count()
+    assert {row["count"] for row in per_series.collect()} == {GRID_POINTS}
+
+
+def test_queries_try_every_order(monkeypatch):
+    calls = {}
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+    def called(name):
+        return lambda *args, **options: calls.update({name: (args[1:], options)}) or Rows()
+
+    monkeypatch.setattr(queries, "_grid", lambda *args: Rows())
+    monkeypatch.setattr(queries, "_readings", lambda *args: Rows())
+    monkeypatch.setattr(queries, "_rounded", lambda *args: None)
+    monkeypatch.setattr(queries, "stage", lambda table, label: table)
+    for name in ("arima_bic_grid", "select_arima_order"):
+        monkeypatch.setattr(queries.arima, name, called(name))
+        getattr(queries, name)(None, None)
+    monkeypatch.setattr(queries, "run_pipeline", called("run_pipeline"))
+    queries._staged(None, None)
+    whole = PipelineOptions(mode=Mode.CORRECTED)
+    assert calls["run_pipeline"] == ((whole,), {})
+    assert calls["arima_bic_grid"] == calls["select_arima_order"] == ((), {"points": whole.points})
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_every_feature_is_merged(spark):
+    rows = queries._features(spark, FOLDER).select("sn", "date", "seq", "feature", "value").collect()
+    names = sorted({row["feature"] for row in rows})
+    assert "label" in names
+    want, position = [], {}
+    for row in sorted(rows, key=lambda r: (r["sn"], r["date"], names.index(r["feature"]), r["seq"])):
+        position[row["sn"]] = position.get(row["sn"], 0) + 1
+        values = [row["value"] if name == row["feature"] else None for name in names]
+        want.append((row["sn"], row["date"], position[row["sn"]], *values))
+    merged = queries.merge_and_sort_all(spark, FOLDER)
+    assert merged.columns == ["sn", "date", "position", *names]
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(want, key=str)
