@@ -11,9 +11,11 @@ both kinds are told apart best.
 Everything is a join or an aggregate over grams with DataFrame functions; counts
 are combined map-side, and all examples count. Rules outrank the model.
 
-A null address, or one without `://`, has an empty host and path; an empty one
-scores 0 and is allowed if the cut is at or below 0. Without examples of both
-kinds every address without a rule is allowed. Repeated rows get equal verdicts.
+The rules see host and path, the model the whole address with its scheme, query
+and fragment. A null address, or one without `://`, has an empty host and path. A
+null counts as the empty address, which scores 0 and is allowed if the cut is at or
+below 0. Without examples of both kinds every address without a rule is allowed.
+Repeated rows get equal verdicts.
 """
 
 from __future__ import annotations
@@ -151,13 +153,17 @@ def best_cut(scored: DataFrame) -> float:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) per row; rules, then the model."""
     host, path = host_and_path(F.col("url"))
-    addresses = pages.select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"))
+    addresses = pages.select(
+        F.col("page_id").alias("page_id"),
+        host.alias("host"),
+        path.alias("path"),
+        F.coalesce(F.col("url"), F.lit("")).alias("text"),
+    )
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    addresses = addresses.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_verdict"))
+    addresses = addresses.select("page_id", "host", "path", "text", rule.alias("rule"), verdict.alias("_verdict"))
     # Equal addresses are scored once.
     texts = stage(
-        addresses.withColumn("text", F.concat("host", "path"))
-        .groupBy("text")
+        addresses.groupBy("text")
         .agg(
             F.sum((F.col("_verdict") == "allow").cast("long")).alias("allow"),
             F.sum((F.col("_verdict") == "block").cast("long")).alias("block"),
@@ -185,7 +191,6 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     else:
         judged = known.select("text", F.lit("allow").alias("_model"))
     return (
-        addresses.withColumn("text", F.concat("host", "path"))
-        .join(judged, "text", "left")
+        addresses.join(judged, "text", "left")
         .select("page_id", "host", "path", "rule", F.coalesce("_verdict", "_model").alias("verdict"))
     )

@@ -306,6 +306,21 @@ def test_address_model(spark):
     assert scores["good5site.org/page/77"] > 0.5 > -0.5 > scores["cheap3pills.com/buy/5"]
 
 
+def test_model_reads_whole_addresses(spark):
+    urls = [f"http://n{i % 9}.example.net/en/{i}?article=library&page={i}#reading" for i in range(300)]
+    urls += [f"http://n{i % 9}.example.net/xx/{i}?buy=cheap-pills&win={i}#casino" for i in range(300)]
+    unknown = [
+        "http://some.info/a?article=library&page=7#reading", "http://some.info/a?buy=cheap-pills&win=7#casino",
+        "http://some.info/a#" + "?article=library&page=7#reading" * 4, "http://some.info/a#" + "?buy=cheap-pills&win=7#casino" * 4,
+        "article=library&page=9#reading", "buy=cheap-pills&win=9#casino",
+    ]
+    pages = spark.createDataFrame(list(enumerate(unknown + urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages).collect()}
+    assert [got[i][3] for i in range(len(unknown))] == ["allow", "block"] * 3, got
+    assert {got[i][:3] for i in range(4)} == {("some.info", "/a", None)}
+    assert got[4][:3] == got[5][:3] == ("", "", None)
+
+
 # Rules
 
 
