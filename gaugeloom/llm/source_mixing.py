@@ -13,8 +13,9 @@ rows is spread over many tasks. Only DataFrame functions are used.
 
 Null and empty texts have size 0; they take part in the order and add nothing.
 A null source is a source of its own, the last one. Rows that repeat an id and a
-text are separate documents next to each other in the order; equal rows may get
-different numbers of copies, and which of them does is not told apart. An empty
+text are separate documents next to each other in the order. In the mix the rows of
+a source that repeat both share the copies drawn for them: of c copies each of k rows
+gets floor(c / k), and the first c mod k by content get one more. An empty
 table gives an empty mix. Reruns give the same result: the offset is a hash of
 the source.
 """
@@ -31,6 +32,14 @@ from gaugeloom.scale import number_rows, stage
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
+SOURCE = ("_null", "_source")
+
+
+def source_key(source: str = "source") -> tuple[Column, Column]:
+    return (
+        F.col(source).isNull().cast("int").alias("_null"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"),
+    )
 
 
 def size_of(text: str = "text") -> Column:
@@ -80,8 +89,7 @@ def copies(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST)
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_doc"),
         F.xxhash64(text_of()).alias("_tid"),
-        F.col("source").isNull().cast("int").alias("_null"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source"),
+        *source_key(),
         size_of().alias("size"),
     )
     # The range partitioning below reads its input twice, so words are counted first.
@@ -91,7 +99,7 @@ def copies(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     passed = F.floor(rate * F.col("_rank") + source_offset()) - F.floor(rate * (F.col("_rank") - 1) + source_offset())
     return placed.join(targets, ["_null", "_source"]).select(
-        "doc_id", "_doc", "_tid", "size", "source_size", "target", passed.cast("int").alias("copies")
+        "doc_id", "_doc", "_tid", *SOURCE, "size", "source_size", "target", passed.cast("int").alias("copies")
     )
 
 
@@ -105,13 +113,30 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of the mix: each document as often as it is taken.
 
-    Equal rows share their copies.
+    Exactly the drawn copies come out; repeated rows are numbered to share them.
     """
-    taken = copies(docs, weights, most).groupBy("_doc", "_tid").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows")
+    key = ["_doc", "_tid", *SOURCE]
+    taken = (
+        copies(docs, weights, most)
+        .groupBy(*key)
+        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+        .filter("_copies > 0")
+    )
+    rows = with_keys(docs)
+    null, source = source_key("_row.source")
+    joined = stage(rows.select("*", null, source).join(taken, key), "taken")
+    # The last column parts equal rows, so that a large group is cut into slices.
+    repeated = number_rows(
+        joined.filter("_rows > 1").withColumn("_content", F.xxhash64(F.col("_row").cast("string"))).withColumn(
+            "_part", F.monotonically_increasing_id()
+        ),
+        ["_content", "_part"],
+        within=key,
+        name="_turn",
     )
-    joined = with_keys(docs).join(taken, ["_doc", "_tid"])
-    spread = joined.withColumn("_copies", F.ceil(F.col("_copies") / F.col("_rows")).cast("int"))
+    more = (F.col("_turn") <= F.col("_copies") % F.col("_rows")).cast("long")
+    shared = repeated.select("_row", (F.floor(F.col("_copies") / F.col("_rows")) + more).alias("_copies"))
+    spread = joined.filter("_rows = 1").select("_row", "_copies").unionByName(shared)
     return spread.filter("_copies > 0").select(
-        F.explode(F.array_repeat("_row", F.col("_copies"))).alias("_row")
+        F.explode(F.array_repeat("_row", F.col("_copies").cast("int"))).alias("_row")
     ).select("_row.*")

@@ -272,6 +272,20 @@ def test_mix(docs):
     assert multiset(report) == multiset(source_mixing.mix_report(docs).collect())
 
 
+def test_repeated_rows_get_the_drawn_copies(spark):
+    rows = [(7, "same words here", "a", 0)] * 1000 + [(None, "lost id", "b", i) for i in range(90)]
+    rows += [(7, "same words here", "b", 0)] * 30 + [(i, f"one of many {i}", "c", i) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int")
+    drawn, weights = Counter(), (1, 9, 40)
+    for r in source_mixing.copies(docs, weights).collect():
+        drawn[r._source, r.doc_id] += r.copies
+    mix = [tuple(r) for r in source_mixing.mix_documents(docs, weights).collect()]
+    assert 0 < drawn["a", 7] < 1000
+    assert Counter((source, doc) for doc, _, source, _ in mix) == +drawn
+    counts = [count for row, count in Counter(mix).items() if row[0] is None]
+    assert max(counts) - (min(counts) if len(counts) == 90 else 0) <= 1
+
+
 # Addresses
 
 
