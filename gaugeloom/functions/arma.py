@@ -12,6 +12,11 @@ import numpy as np
 # polynomial in 1/observations (MacKinnon 2010).
 CRITICAL_5_PERCENT = (-2.86154, -2.8903, -4.234, -40.040)
 
+# A fit that has not converged after so many steps has no BIC.
+STEPS = 2000
+# Slope of the mean deviance below which a stuck search counts as converged.
+FLAT = 1e-4
+
 
 def is_stationary(values: np.ndarray) -> bool:
     """Augmented Dickey-Fuller test with a constant and the AIC choice of lags.
@@ -199,7 +204,7 @@ def _lowest(model: _Likelihood, x: np.ndarray) -> float:
     """Quasi-Newton (BFGS) minimum of the deviance.
 
     The value at a point and at its neighbours along each axis, which give the
-    slopes, are one batch.
+    slopes, are one batch. NaN when it does not converge.
     """
     nudge = 1e-5
     around = nudge * np.eye(x.size)
@@ -212,8 +217,12 @@ def _lowest(model: _Likelihood, x: np.ndarray) -> float:
 
     value, slope = look(x)
     curvature = np.eye(x.size)
-    for _ in range(60):
-        if not np.isfinite(value) or not np.abs(slope).max() > 1e-6:
+    converged = False
+    for _ in range(STEPS):
+        if not np.isfinite(value) or not np.isfinite(slope).all():
+            break
+        if np.abs(slope).max() <= 1e-6:
+            converged = True
             break
         direction = -curvature @ slope
         if direction @ slope >= 0:
@@ -226,16 +235,22 @@ def _lowest(model: _Likelihood, x: np.ndarray) -> float:
                 break
             length /= 2
         else:
-            break
+            # No lower value along the slope: the rest is rounding if it is flat.
+            if (curvature == np.eye(x.size)).all():
+                converged = np.abs(slope).max() <= FLAT
+                break
+            curvature = np.eye(x.size)
+            continue
         gain, moved, bent = value - reached, candidate - x, new_slope - slope
         x, value, slope = candidate, reached, new_slope
         if gain < 1e-10 * (1 + abs(value)):
+            converged = True
             break
         if moved @ bent > 1e-14:
             ratio = 1 / (moved @ bent)
             left = np.eye(x.size) - ratio * np.outer(moved, bent)
             curvature = left @ curvature @ left.T + ratio * np.outer(moved, moved)
-    return float(value * model.n)
+    return float(value * model.n) if converged else float("nan")
 
 
 def arima_bic(values: np.ndarray, p: int, d: int, q: int) -> float:
