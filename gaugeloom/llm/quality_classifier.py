@@ -11,8 +11,8 @@ others calibrate. The bounds are parameters; every document is scored in full. S
 depend on the text alone.
 
 Null and empty texts have difference 0 and get the score of that difference;
-repeated rows get equal scores. A class without samples raises ValueError, and
-so does an empty label table.
+repeated rows get equal scores. `fit` raises MissingClass, a ValueError, for a class
+without sampled text; `fit_or_constant` gives every document 0.5 then.
 """
 
 from __future__ import annotations
@@ -38,6 +38,10 @@ BLOCK_BYTES = 256
 LEVEL = 6
 
 
+class MissingClass(ValueError):
+    """One class, or both, have no text to learn from."""
+
+
 @dataclass(frozen=True)
 class QualityModel:
     good: bytes
@@ -138,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Q
             bodies[row["_label"]].append(bytes(row["_sample"]))
         else:
             calibration.append((row["_label"], bytes(row["_sample"])))
-    if not bodies[0] or not bodies[1]:
-        raise ValueError("both classes need labelled documents")
+    if not all(map(any, bodies.values())):
+        raise MissingClass("both classes need labelled documents")
     # Equal sizes: a larger dictionary would win whatever it holds.
     size = min(DICTIONARY_BYTES, *(sum(map(len, part)) for part in bodies.values()))
     good, bad = (_dictionary(bodies[label], size) for label in (1, 0))
@@ -149,6 +153,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Q
     return QualityModel(good, bad, slope, offset)
 
 
+def fit_or_constant(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
+    """Like `fit`, with a constant score of 0.5 where a class has no sampled text."""
+    try:
+        return fit(docs, labels, sample_rows)
+    except MissingClass:
+        return QualityModel(b"", b"", 0.0, 0.0)
+
+
 def _builds(number: int) -> bool:
     """Three of four ids, by a fixed mixing step, go into the dictionaries."""
     return (number * 0x9E3779B97F4A7C15 >> 40) & 3 > 0
@@ -189,6 +201,9 @@ def logistic(x: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
 
 def score_documents(docs: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score) of every whole text."""
+    if not model.good and not model.bad:
+        constant = F.lit(float(model.probability(np.zeros(1))[0]))
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), constant.alias("score"))
     probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * F.col("_difference"))))
     return _differences(docs, model.good, model.bad, [F.col("doc_id").cast("long").alias("doc_id")]).select(
         "doc_id", probability.alias("score")

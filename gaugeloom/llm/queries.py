@@ -37,7 +37,7 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
-    model = quality_classifier.fit(docs, labels.filter(fold != 1))
+    model = quality_classifier.fit_or_constant(docs, labels.filter(fold != 1))
     return quality_classifier.score_documents(docs, model).select(
         "doc_id",
         F.coalesce(fold == 1, F.lit(False)).alias("held_out"),

@@ -85,6 +85,19 @@ def test_scores_part_two_kinds_of_text(spark, words):
         quality_classifier.fit(docs, labels.filter("quality = 1"))
 
 
+@pytest.mark.parametrize(
+    "texts, labels",
+    [([], []), ([], [(0, 0), (3, 1)]), (["a b", None, "c"], []), (["a b", None, "c"], [(i, 1) for i in range(3)]), (["", None], [(0, 0), (1, 1)])],
+)
+def test_scores_without_a_sample_of_both_classes(spark, tmp_path, texts, labels):
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.op2_quality_classifier(spark, str(tmp_path))
+    assert rows.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert sorted((r.doc_id, r.score) for r in rows.collect()) == [(i, 0.5) for i in range(len(texts))]
+
+
 # Repeated bytes and phrases
 
 
