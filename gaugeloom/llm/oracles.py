@@ -145,7 +145,32 @@ SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id)) AS class_id,
 FROM documents d LEFT JOIN classes c ON c.a = d.doc_id LEFT JOIN counts n ON n.a = d.doc_id
 """
 
+FILL_MIDDLE = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+           [('0x' || substr(sha256('7:' || doc_id), 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h
+    FROM documents
+), cuts AS (
+    SELECT *, len(l) AS n, least(h[1] % (len(l) + 1), h[2] % (len(l) + 1)) AS low,
+           greatest(h[1] % (len(l) + 1), h[2] % (len(l) + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR h[3] % 100 >= 100 THEN 'plain'
+                WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM units
+), parts AS (
+    SELECT *, coalesce(array_to_string(l[1:low], ''), '') AS prefix,
+           coalesce(array_to_string(l[low + 1:high], ''), '') AS middle,
+           coalesce(array_to_string(l[high + 1:n], ''), '') AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES = {
+    "op13_fill_middle": FILL_MIDDLE,
     "op3_suffix_dedup": SUBSTRINGS,
     "op5_line_dedup": LINES,
     "op6_jaccard_join": JACCARD,

@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 from gaugeloom.llm import (
     bpe,
+    fill_middle,
     fingerprints,
     jaccard_join,
+    language_id,
     line_dedup,
     phrase_dedup,
     quality_classifier,
     quality_rules,
     source_mixing,
     substring_dedup,
+    token_alignment,
     url_filter,
 )
 
 
-def tokenizer_path() -> str:
-    """The public word-level vocabulary that is installed with the tokenizers."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary that is installed with the tokenizers."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +81,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rule_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return token_alignment.link_report(table(spark, folder, "documents"), *paths)
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = language_id.fit(docs.filter(fold != 2))
+    return language_id.predict(docs, model).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.transform_digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -91,5 +112,8 @@ QUERIES = {
         op8_source_mixing,
         op9_url_filter,
         op10_quality_rules,
+        op11_token_alignment,
+        op12_language_id,
+        op13_fill_middle,
     )
 }
