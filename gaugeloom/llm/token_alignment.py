@@ -46,10 +46,10 @@ BLOCK_ENTRIES = 1 << 20
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Outside these characters the two libraries' Unicode tables may differ in age.
-_RARE = re.compile("[^\x00-ɏ‐-‧€]")
+_RARE = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]")
 
-# A run of this many characters without a blank is left to the file's own library.
-_LONG_RUN = re.compile(r"\S{20000}")
+# Words from this length on are left to the file's own library.
+LONG_WORD = 20_000
 
 
 @dataclass(frozen=True)
@@ -193,8 +193,9 @@ class TokenizerPair:
 
     def encode_bytes(self, text: str) -> list[int]:
         """Numbers of the byte-level tokens of a blank and the text."""
-        if self.quick is not None and not _RARE.search(text) and not _LONG_RUN.search(text):
-            return self.quick.encode_ordinary(" " + text)
+        if self.quick is not None and not _RARE.search(text):
+            if len(text) < LONG_WORD or max(map(len, text.split()), default=0) < LONG_WORD:
+                return self.quick.encode_ordinary(" " + text)
         return self.library.encode(" " + text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
