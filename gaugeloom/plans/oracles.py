@@ -556,6 +556,41 @@ SELECT sn, feature, 0 AS p, d, 0 AS q,
   round(n * (ln(2 * pi() * variance) + 1) + (CASE d WHEN 0 THEN 2 ELSE 1 END) * ln(n), 4)
     AS bic
 FROM sums""",
+    "unit_root_one_lag": f"""{EVENTS_CLEANED},
+levels AS (
+  SELECT sn, feature, value, lag(value) OVER series AS level, lag(value, 2) OVER series AS older
+  FROM cleaned WINDOW series AS (PARTITION BY sn, feature ORDER BY date, seq)),
+steps AS (
+  SELECT sn, feature, value - level AS y, level AS x, level - older AS w FROM levels WHERE older IS NOT NULL),
+sums AS (
+  SELECT sn, feature, count(*) AS rows, regr_sxx(y, x) AS xx, regr_sxx(y, w) AS ww, regr_syy(y, x) AS yy,
+    regr_sxy(y, x) AS xy, regr_sxy(y, w) AS wy, regr_sxy(x, w) AS xw
+  FROM steps GROUP BY sn, feature),
+swept AS (
+  SELECT *, xx - xw * xw / ww AS a, xy - xw * wy / ww AS b, yy - wy * wy / ww AS c FROM sums
+  WHERE rows > 3 AND ww > 0),
+tested AS (
+  SELECT sn, feature, rows, (b / a) / sqrt((c - b * b / a) / (rows - 3) / a) AS statistic,
+    {CONSTANT} + (1.0 / rows) * ({FIRST} + (1.0 / rows) * ({SECOND} + (1.0 / rows) * {THIRD})) AS critical
+  FROM swept),
+listed AS (SELECT sn, feature, count(*) AS n FROM cleaned GROUP BY sn, feature)
+SELECT l.sn, l.feature, l.n, t.rows, round(statistic, 5) AS statistic,
+  round(CAST(critical AS DOUBLE), 6) AS critical, statistic < critical AS stationary
+FROM listed l LEFT JOIN tested t ON l.sn = t.sn AND l.feature = t.feature""",
+    "autoregression_bics": f"""{EVENTS_GRID},
+moved AS (
+  SELECT sn, feature, 0 AS d, idx, data - avg(data) OVER (PARTITION BY sn, feature) AS x FROM grid
+  UNION ALL
+  SELECT sn, feature, 1, idx, change FROM (
+    SELECT *, data - lag(data) OVER (PARTITION BY sn, feature ORDER BY idx) AS change FROM grid)
+  WHERE change IS NOT NULL),
+products AS (
+  SELECT sn, feature, d, count(*) AS n, sum(x * x) AS r0, sum(x * before) AS r1
+  FROM (SELECT *, lag(x) OVER (PARTITION BY sn, feature, d ORDER BY idx) AS before FROM moved)
+  GROUP BY sn, feature, d)
+SELECT sn, feature, p, d, 0 AS q,
+  round(n * (ln(2 * pi() * (r0 - p * r1 * r1 / r0) / n) + 1) + (p + 2 - d) * ln(n), 2) AS bic
+FROM products, unnest([0, 1]) AS t(p)""",
     "lowest_bic": """
 WITH candidates AS (
   SELECT CAST(user_id AS VARCHAR) AS sn, event_type AS feature,

@@ -14,6 +14,7 @@ from gaugeloom.operators import (
     clean,
     compare,
     diagnose,
+    lags,
     profile,
     readings,
     resample,
@@ -485,23 +486,50 @@ def dickey_fuller(spark, directory):
 
 
 def is_stationary(spark, directory):
-    return diagnose.is_stationary(
-        diagnose.pack_series(_grid(spark, directory), POINTS)
-    )
+    return lags.is_stationary(lags.of_grid(stage(_grid(spark, directory), "grid")))
 
 
 def difference_order(spark, directory):
-    return diagnose.difference_order(
-        diagnose.pack_series(_grid(spark, directory), POINTS)
-    ).select(*KEY, "d")
+    return lags.difference_order(lags.of_grid(stage(_grid(spark, directory), "grid")))
+
+
+def unit_root(spark, directory):
+    """The test of raw series, with the lags that the AIC chooses."""
+    numbered = stage(lags.numbered(_cleaned(spark, directory)), "numbered_series")
+    return lags.augmented_dickey_fuller(numbered).select(
+        *KEY, "n", "lags", "rows", _rounded("statistic", 5), _rounded("critical", 6), "stationary"
+    )
 
 
-def arima_bic_grid(spark, directory):
-    return arima.arima_bic_grid(_grid(spark, directory), points=POINTS).select(
-        *KEY, "p", "d", "q", _rounded("bic", 3)
+def unit_root_one_lag(spark, directory):
+    """The test of raw series with one lagged step."""
+    numbered = lags.numbered(_cleaned(spark, directory))
+    return lags.augmented_dickey_fuller(numbered, lags=1).select(
+        *KEY, "n", "rows", _rounded("statistic", 5), _rounded("critical", 6), "stationary"
     )
 
 
+def candidate_orders(spark, directory):
+    """BIC of all orders of every grid series at its own number of differences."""
+    grid = lags.of_grid(stage(_grid(spark, directory), "grid"))
+    return lags.candidate_orders(grid).select(*KEY, "p", "d", "q", _rounded("bic", 2))
+
+
+def order_by_regression(spark, directory):
+    grid = lags.of_grid(stage(_grid(spark, directory), "grid"))
+    return lags.order_by_regression(grid).select(
+        *KEY, "status", "p", "d", "q", _rounded("bic", 2), "tested", "failed", "message"
+    )
+
+
+def autoregression_bics(spark, directory):
+    """Candidates without innovations and up to one lag, with and without a difference."""
+    sums = lags.lag_sums(
+        lags.of_grid(_grid(spark, directory)), differences=1, step_lags=0, value_lags=1
+    )
+    return lags.regression_bics(sums, 1, 0, 0).select(*KEY, "p", "d", "q", _rounded("bic", 2))
+
+
 def arima_bic_walk(spark, directory):
     """Random walk and white noise candidates, which have a closed form."""
     return arima.closed_form_bics(_grid(spark, directory)).select(
@@ -523,13 +551,6 @@ def lowest_bic(spark, directory):
     return arima.lowest_bic(candidates)
 
 
-def select_arima_order(spark, directory):
-    grid = stage(_grid(spark, directory), "grid")
-    return arima.select_arima_order(grid, points=POINTS).select(
-        *KEY, "status", "p", "d", "q", _rounded("bic", 3), "tested", "failed", "message"
-    )
-
-
 # --- comparison --------------------------------------------------------------
 
 
@@ -721,10 +742,13 @@ QUERIES: dict[str, Query] = {
     "dickey_fuller": dickey_fuller,
     "is_stationary": is_stationary,
     "difference_order": difference_order,
-    "arima_bic_grid": arima_bic_grid,
+    "unit_root": unit_root,
+    "unit_root_one_lag": unit_root_one_lag,
+    "candidate_orders": candidate_orders,
+    "order_by_regression": order_by_regression,
+    "autoregression_bics": autoregression_bics,
     "arima_bic_walk": arima_bic_walk,
     "lowest_bic": lowest_bic,
-    "select_arima_order": select_arima_order,
     "missing_keys": missing_keys,
     "unexpected_keys": unexpected_keys,
     "row_count_diff": row_count_diff,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.text import checked_series_name
-from gaugeloom.operators import arima, clean, diagnose, profile, resample
+from gaugeloom.operators import clean, diagnose, lags, profile, resample
 from gaugeloom.operators import readings as reading_operators
 from gaugeloom.operators import series as series_operators
 from gaugeloom.scale import stage
@@ -107,12 +107,11 @@ class Stages:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return arima.select_arima_order(
-            self.grid,
+        return lags.order_by_regression(
+            lags.of_grid(self.grid),
             self.options.p_max,
             self.options.q_max,
             self.options.max_differences,
-            points=self.options.points,
         )
 
     @cached_property
