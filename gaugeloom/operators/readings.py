@@ -122,3 +122,18 @@ def merge_and_sort(
     return number_rows(
         undated, order, within=("sn",), name="position", slices=slices
     ).drop("_undated")
+
+
+def merge_features(features: DataFrame, *, slices: int | None = None) -> DataFrame:
+    """Like `merge_and_sort` with a chunk for every feature, in the order of their names.
+
+    The long rows are numbered in one pass, whatever features there are.
+    """
+    undated = features.withColumn("_undated", F.col("date").isNull())
+    return number_rows(
+        undated,
+        ["_undated", "date", "feature", "seq", "pos"],
+        within=("sn",),
+        name="position",
+        slices=slices,
+    ).drop("_undated")

@@ -317,6 +317,9 @@ ORACLES: dict[str, str] = {
     "series_profile": f"{EVENTS_CLEANED} {_summary('cleaned', 'value')}",
     "read_pages": f"""WITH {READINGS}
 SELECT CAST(floor(seq_no / {PAGE}) AS BIGINT) + 1 AS page_no, sn, date, data, slave_id, type_id
+FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS seq_no FROM readings)""",
+    "read_page_rows": f"""WITH {READINGS}
+SELECT CAST(floor(seq_no / {PAGE}) AS BIGINT) + 1 AS page_no, sn, date, data, slave_id, type_id
 FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS seq_no FROM readings)""",
     "offset_pages": f"""
 SELECT CAST(floor((row_number - 1) / {PAGE}) AS BIGINT) AS page_no, row_number,
@@ -406,6 +409,10 @@ chunks AS (
 SELECT sn, date,
   row_number() OVER (PARTITION BY sn ORDER BY date, chunk, seq) AS position, k, value
 FROM chunks""",
+    "merge_and_sort_all": f"""WITH {FEATURES}
+SELECT sn, date,
+  row_number() OVER (PARTITION BY sn ORDER BY date, feature, seq) AS position, feature, value
+FROM features""",
     "drop_nulls": f"""WITH {FEATURES}
 SELECT sn, feature, date, seq, TRY_CAST(value AS DOUBLE) AS value FROM features
 WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL""",
@@ -609,7 +616,7 @@ SELECT sn, feature, bic, CASE WHEN bic IS NOT NULL THEN p END AS p,
   tested, failed
 FROM ranked WHERE place = 1""",
     "missing_keys": _key_difference(
-        "customer", "c_custkey", "orders", "o_custkey", "missing"
+        "customer", "c_custkey", "supplier", "s_suppkey", "missing"
     ),
     "unexpected_keys": _key_difference(
         "orders", "o_orderkey", "lineitem", "l_orderkey", "unexpected"
@@ -637,6 +644,16 @@ FROM documents WHERE text <> lower(text)""",
     "compare_tables": f"""{CELLS}
 SELECT CAST(event_id AS VARCHAR) AS path, column_no, 'value' AS kind, expected, actual
 FROM unequal""",
+    "compare_folders": f"""WITH {READINGS},
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY seq) - 1 AS place FROM readings),
+cells AS (
+  SELECT *, 'SqlData' || CAST(place // {PAGE} + 1 AS VARCHAR) || '.csv' AS path, place % {PAGE} + 2 AS row_no
+  FROM placed)
+SELECT path, row_no, CAST(5 AS INTEGER) AS column_no, 'value' AS kind,
+  CAST(slave_id AS VARCHAR) AS expected, CAST(slave_id + 1 AS VARCHAR) AS actual
+FROM cells WHERE seq % 10 = 0
+UNION ALL SELECT path, row_no, 3, 'value', date, '' FROM cells WHERE seq % 7 = 0""",
     "stage_counts": f"""{EVENTS_GRID}{VERDICTS},
 kept AS (
   SELECT c.sn, c.feature FROM cleaned c

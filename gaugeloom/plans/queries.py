@@ -80,7 +80,17 @@ def _grid(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def read_pages(spark, directory):
-    """Number pages, write them as CSV once, read them back."""
+    """Number pages, write them as `SqlData{n}.csv` once, read them by column name."""
+    path = new_shared_path(spark, "pages")
+    numbered = paging.keyset_pages(_readings(spark, directory), ("seq",), PAGE)
+    pages.write_page_files(numbered, path)
+    return pages.read_pages(spark, path).select(
+        "page_no", "sn", "date", "data", "slave_id", "type_id"
+    )
+
+
+def read_page_rows(spark, directory):
+    """The same pages as one folder of page rows."""
     path = new_shared_path(spark, "pages")
     numbered = paging.keyset_pages(_readings(spark, directory), ("seq",), PAGE)
     pages.write_pages(numbered, path)
@@ -259,19 +269,10 @@ def merge_and_sort(spark, directory):
 
 
 def merge_and_sort_all(spark, directory):
-    """A chunk per feature, none left out, behind each other in `seq`."""
-    features = stage(_features(spark, directory), "features")
-    names = [
-        row["feature"]
-        for row in features.select("feature").distinct().orderBy("feature").collect()
-    ]
-    chunks = [
-        readings.pivot_features(features.where(F.col("feature") == name), (name,)).withColumn(
-            "seq", F.col("seq") + F.lit(turn << 40)
-        )
-        for turn, name in enumerate(names)
-    ]
-    return readings.merge_and_sort(chunks).select("sn", "date", "position", *names)
+    """A chunk per feature, none left out, in the order of their names."""
+    return readings.merge_features(_features(spark, directory)).select(
+        "sn", "date", "position", "feature", "value"
+    )
 
 
 # --- series and cleaning -----------------------------------------------------
@@ -578,14 +579,14 @@ def _key_columns(table: DataFrame) -> DataFrame:
 
 
 def missing_keys(spark, directory):
-    """Customers without an order."""
+    """Customers whose number no supplier has."""
     customer = adapters.table(spark, directory, "customer").select(
         F.col("c_custkey").alias("key")
     )
-    orders = adapters.table(spark, directory, "orders").select(
-        F.col("o_custkey").alias("key")
+    supplier = adapters.table(spark, directory, "supplier").select(
+        F.col("s_suppkey").alias("key")
     )
-    return _key_columns(compare.missing_keys(customer, orders, ["key"]))
+    return _key_columns(compare.missing_keys(customer, supplier, ["key"]))
 
 
 def unexpected_keys(spark, directory):
@@ -647,6 +648,27 @@ def compare_tables(spark, directory):
     ).differences.select("path", "column_no", "kind", "expected", "actual")
 
 
+def compare_folders(spark, directory):
+    """Page files with line breaks in quoted cells; other numbers and blanks on one side."""
+    paged = stage(
+        paging.keyset_pages(_readings(spark, directory), ("seq",), PAGE).withColumn(
+            "data", F.concat("data", F.lit("\n"), F.col("sn"))
+        ),
+        "paged",
+    )
+    changed = paged.withColumns(
+        {
+            "slave_id": F.col("slave_id") + F.when(F.col("seq") % 10 == 0, 1).otherwise(0),
+            "date": F.when(F.col("seq") % 7 == 0, "").otherwise(F.col("date")),
+        }
+    )
+    folders = []
+    for table in (paged, changed):
+        folders.append(new_shared_path(spark, "folder"))
+        pages.write_page_files(table, folders[-1])
+    return compare.compare_folders(spark, *folders).differences
+
+
 # --- all stages --------------------------------------------------------------
 
 
@@ -688,6 +710,7 @@ def series_profile(spark, directory):
 QUERIES: dict[str, Query] = {
     "series_profile": series_profile,
     "read_pages": read_pages,
+    "read_page_rows": read_page_rows,
     "offset_pages": offset_pages,
     "keyset_pages": keyset_pages,
     "keyset_page": keyset_page,
@@ -757,6 +780,7 @@ QUERIES: dict[str, Query] = {
     "cells_match": cells_match_counts,
     "content_hash_diff": content_hash_diff,
     "compare_tables": compare_tables,
+    "compare_folders": compare_folders,
     "stage_counts": stage_counts_query,
     "stage_outputs": stage_outputs,
 }

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeloom.scale import new_shared_path, spread_join, stage
 from gaugeloom.schema import RAW_COLUMNS
+from gaugeloom.sources.records import csv_records, split_cells
 
 # Fixed value: name of a page file.
 PAGE_FILE = r"SqlData([1-9][0-9]*)\.csv"
@@ -67,17 +69,67 @@ def _readings(pages: DataFrame, page_no: Column, position: Column) -> DataFrame:
     )
 
 
+def page_headers(records: DataFrame) -> DataFrame:
+    """(path, header, rows): the column names of every page and its number of records."""
+    first = F.when(F.col("record_no") == 1, split_cells(F.col("record")))
+    return records.groupBy("path").agg(
+        F.max(first).alias("header"), F.count("*").alias("rows")
+    )
+
+
 def read_pages(spark: SparkSession, directory: str) -> DataFrame:
-    """Readings of all `SqlData{n}.csv` pages, in page and row order by `seq`.
+    """Readings of all `SqlData{n}.csv` pages, in page and record order by `seq`.
 
-    The unnamed first column of a page is its row index, which makes the order
-    independent of how Spark splits the files. All pages of an export have the
-    columns of its first page.
+    Columns are found by their name in each page's own header, so pages may differ
+    in column order and have further columns, such as a row index; a page that
+    lacks a reading column fails the job. Empty cells are NULL. A page of any size
+    is read by many tasks.
     """
     check_pages(spark, directory)
-    pages = spark.read.options(**CSV_OPTIONS).csv(directory)
-    page_no = F.regexp_extract(F.col("_metadata.file_name"), PAGE_FILE, 1)
-    return _readings(pages, page_no, F.col("_c0"))
+    records = stage(csv_records(spark, directory), "pages")
+    rows = spread_join(records.where(F.col("record_no") > 1), page_headers(records), ["path"], size="rows")
+    # A line without any text is no record.
+    cells = rows.where(~F.col("record").rlike(r"\A\r?\z")).withColumn("cells", split_cells(F.col("record")))
+
+    def named(name: str) -> Column:
+        place = F.array_position("header", F.lit(name))
+        lacking = F.concat(F.lit(f"no column {name} in page "), F.col("path"))
+        cell = F.get("cells", (place - 1).cast("int"))
+        return F.when(place == 0, F.raise_error(lacking).cast("string")).otherwise(F.nullif(cell, F.lit(""))).alias(name)
+
+    pages = cells.select("path", "record_no", *(named(name) for name in RAW_COLUMNS))
+    page_no = F.regexp_extract(F.concat(F.lit("/"), F.col("path")), rf"/{PAGE_FILE}\z", 1)
+    return _readings(pages, page_no, F.col("record_no") - 2)
+
+
+def write_page_files(pages: DataFrame, directory: str) -> None:
+    """Pages as files `SqlData{n}.csv` with a header and a row index, write-once.
+
+    Each page is a sorted partition of its own, as a page has at most a batch of
+    rows; the part files are then renamed to page names, one rename per page.
+    """
+    spark = pages.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(path(directory)):
+        raise FileExistsError(f"output exists: {directory}")
+    parts = new_shared_path(spark, "page-parts")
+    (
+        pages.select("page_no", (F.col("row_number") - 1).alias("index"), *RAW_COLUMNS)
+        .repartition("page_no")
+        .sortWithinPartitions("page_no", "index")
+        .write.partitionBy("page_no")
+        .option("maxRecordsPerFile", 0)
+        .options(header="true", quote='"', escape='"')
+        .csv(parts)
+    )
+    system.mkdirs(path(directory))
+    for folder in system.listStatus(path(parts)):
+        name = folder.getPath().getName()
+        if not name.startswith("page_no="):
+            continue
+        (part,) = (item for item in system.listStatus(folder.getPath()) if item.getPath().getName().endswith(".csv"))
+        system.rename(part.getPath(), path(f"{directory}/SqlData{name.removeprefix('page_no=')}.csv"))
 
 
 def write_pages(pages: DataFrame, directory: str) -> None:
