@@ -388,20 +388,57 @@ def test_ratio_equals_counting(spark):
         words = [word.encode() for word in split_words(text)]
         def signed(n):
             return n - (1 << 64) if n >> 63 else n
+        def pair_bucket(a, b):
+            first = xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)
+            return signed(xxhash.xxh64_intdigest(b.to_bytes(8, "little"), first)) % quality_rules.BUCKETS
         ones = [signed(xxhash.xxh64_intdigest(word, 42)) % quality_rules.BUCKETS for word in words]
         pairs = [
-            signed(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))) % quality_rules.BUCKETS
-            for a, b in zip(words, words[1:])
+            pair_bucket(*(xxhash.xxh64_intdigest(word, 42) for word in pair)) for pair in zip(words, words[1:])
         ]
         return ones + pairs
 
     docs = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (4, "word")], "doc_id long, text string")
-    rows = docs.select("text", quality_rules.words_of(F.coalesce("text", F.lit(""))).alias("_words")).select(
-        "text", quality_rules.gram_buckets().alias("grams")
-    )
-    for row in rows.collect():
+    rows = docs.select("text", quality_rules.words_of(F.coalesce("text", F.lit(""))).alias("_words"))
+    rows = rows.select("text", quality_rules.word_hashes().alias("_hashes"))
+    for row in rows.select("text", quality_rules.gram_buckets().alias("grams")).collect():
         assert row.grams == grams(row.text)
 
+    # The verdicts by counting, whatever way the rows are dealt.
+    rng = np.random.default_rng(5)
+    common, odd = [f"w{i}" for i in range(60)], [f"x{i}" for i in range(60)]
+    texts = []
+    for i in range(240):
+        share = (i % 12) / 11 if i >= 120 else 0.1
+        texts.append(" ".join(rng.choice(odd if rng.random() < share else common) for _ in range(rng.integers(8, 40))))
+    rows = [*enumerate(texts), (None, texts[0]), (3, texts[3]), (3, texts[200])]
+    trusted = [*range(120)]
+    fold = {}
+    for i in trusted:
+        order = xxhash.xxh64_intdigest(b"trusted", xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42))
+        fold[i] = order % 4 > 0
+    raw, good = Counter(), Counter()
+    for i, text in rows:
+        raw.update(grams(text))
+        if fold.get(i):
+            good.update(grams(text))
+    size = quality_rules.BUCKETS
+    total = [sum(c.values()) + size / 2 for c in (good, raw)]
+    def score(text):
+        found = [np.log((good[g] + 0.5) / total[0]) - np.log((raw[g] + 0.5) / total[1]) for g in grams(text)]
+        return float(np.mean(found)) if found else 0.0
+    held = {}
+    for i, text in rows:
+        if fold.get(i) is False and len(split_words(text)) >= 10:
+            held[i] = min(held.get(i, 9.9), score(text))
+    cut = sorted(held.values())[int(np.ceil(0.005 * len(held))) - 1]
+    want = [(i, score(text) >= cut - 1e-6 and not rule_truth(text)[-1]) for i, text in rows]
+    labels = spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int")
+    for parts in (1, 7):
+        dealt = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = quality_rules.rule_report(dealt, labels).select("doc_id", "kept").collect()
+        assert multiset(got) == multiset(want)
+    assert 120 < sum(kept for _, kept in want) < 240
+
 
 # Empty tables
 
