@@ -67,17 +67,28 @@ def fit(
         F.col("lang").cast("string").alias("_lang"),
         text_of().alias("_text"),
     ).filter(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}"))
-    counts = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(languages).collect()
+    short = F.octet_length("_text") <= row_bytes
+    counts = known.groupBy("_lang").agg(F.count("*").alias("rows"), F.count_if(short).alias("short"))
+    counts = counts.orderBy(F.desc("rows"), "_lang").limit(languages).collect()
     order = [row["_lang"] for row in counts]
     if not order:
         return ()
-    # Only the first rows of each task are shuffled, as the rank has a limit.
+    # Four times the wanted rows, by a bound on their hash: what is ranked per
+    # language does not grow with the input or the number of tasks.
+    bounds = [
+        (row["_lang"], min(-(1 << 63) + int((1 << 64) * min(1.0, 4 * sample_rows / max(row["short"], 1))), (1 << 63) - 1))
+        for row in counts
+    ]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "_lang string, _bound long"))
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_hash", "_id", "_tid"))
     chosen = (
-        known.filter((F.octet_length("_text") <= row_bytes) & F.col("_lang").isin(order))
+        known.filter(short)
         .select("_lang", "_id", F.xxhash64("_text").alias("_tid"), F.xxhash64("_id", F.lit("language")).alias("_hash"))
+        .join(bounds, "_lang")
+        .filter(F.col("_hash") <= F.col("_bound"))
         .withColumn("_rank", rank)
         .filter(F.col("_rank") <= sample_rows)
+        .select("_lang", "_id", "_tid", "_rank")
     )
     texts = stage(
         known.withColumn("_tid", F.xxhash64("_text"))
