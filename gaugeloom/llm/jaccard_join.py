@@ -7,8 +7,8 @@ node is below 1 / (threshold * size), so two sets at or above the threshold are
 expected to choose a common one. Sets with the same path meet in a bucket. A
 bucket over `SPLIT` members is split again by the next shingle on the path; what
 still is too large, such as thousands of near copies, is compared in pairs of
-blocks, so no task gets more than two blocks. `RUNS` runs find a pair at the
-threshold with a probability over 0.9999 on the first level.
+blocks, so no task gets more than two blocks. The runs are as many as find a pair at
+the threshold with the probability `RECALL`, also where it must share both levels.
 
 Buckets first compare sketches (one byte of 64 minima each) by a margin of five
 standard deviations; only documents with a partner there send their whole sets
@@ -17,11 +17,14 @@ bucket it has in common, so links need no list of pairs; a bucket reports counts
 and a spanning forest, from which components are labelled.
 
 Null, empty and blank texts have no shingle: they link to nothing and are classes
-of their own. Rows that repeat a text are copies of one class.
+of their own. Rows that repeat a text are copies of one class. A text of any length is
+one set of all its shingles. The sketch may hide a pair at the threshold, with the
+chance of a deviation beyond five standard ones.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -37,12 +40,33 @@ from gaugeloom.scale import stage
 SHINGLE = 5
 # The threshold is NUMERATOR / DENOMINATOR, so that similarities compare exactly.
 NUMERATOR, DENOMINATOR = 4, 5
-RUNS = 16
+# Part of the pairs at the threshold that the runs find together, and the levels of
+# paths that a pair may have to follow.
+RECALL = 0.99995
+LEVELS = 2
 SPLIT = 400
 SKETCH = 64
 # Five standard deviations of the share of 64 equal minima at 0.8.
 SKETCH_LEAST = 35
 
+# Hashes taken at once; they fit into a core's cache.
+CELLS = 1 << 15
+
+
+def runs_for(recall: float, levels: int) -> int:
+    """Runs that find a pair at the threshold with the probability `recall`.
+
+    On each level the pair is expected to choose one common shingle at least, so the
+    chance that a common path reaches the last level is that of a branching process.
+    """
+    reached = 1.0
+    for _ in range(levels):
+        reached = 1 - math.exp(-reached)
+    return math.ceil(math.log(1 - recall) / math.log(1 - reached))
+
+
+RUNS = runs_for(RECALL, LEVELS)
+
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
@@ -72,17 +96,25 @@ def chosen(shingles: np.ndarray, nodes: np.ndarray) -> list[np.ndarray]:
     """Child nodes of each node: those shingles whose hash with it is low enough."""
     limit = np.uint64(min((1 << 64) - 1, (1 << 64) * DENOMINATOR // (NUMERATOR * len(shingles))))
     out = []
-    for node in nodes:
-        hashes = mix(shingles ^ node)
-        out.append(mix(hashes[hashes < limit] + node))
+    # Many nodes of a small set at once, few of a large one.
+    step = max(1, CELLS // len(shingles))
+    for first in range(0, len(nodes), step):
+        some = nodes[first : first + step]
+        hashes = mix(some[:, None] ^ shingles)
+        low, places = np.nonzero(hashes < limit)
+        children = mix(hashes[low, places] + some[low])
+        out.extend(np.split(children, np.searchsorted(low, np.arange(1, len(some)))))
     return out
 
 
 def sketch_of(shingles: np.ndarray) -> bytes:
     """A byte of the smallest hash under each of 64 seeds."""
-    least = np.empty(SKETCH, np.uint64)
-    for i, seed in enumerate(_SKETCH_SEEDS):
-        least[i] = ((shingles ^ seed) * np.uint64(0xD6E8FEB86659FD93)).min()
+    least = np.full(SKETCH, np.iinfo(np.uint64).max)
+    step = CELLS // SKETCH
+    for first in range(0, len(shingles), step):
+        hashes = _SKETCH_SEEDS[:, None] ^ shingles[first : first + step]
+        hashes *= np.uint64(0xD6E8FEB86659FD93)
+        np.minimum(least, hashes.min(axis=1), out=least)
     return (mix(least) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
