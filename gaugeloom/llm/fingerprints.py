@@ -12,24 +12,26 @@ of the gaps between their places, both in little-endian order. Likeness is the
 Dice coefficient of the two multisets of hashes: 1 for equal fingerprints, empty
 ones included, 0 without a common gram.
 
-Documents follow one another by id, then by text; a null id comes last, and the
-last is followed by the first. A single document follows itself.
+Documents follow one another by id, then by text hash; a null id comes last, and the
+last is followed by the first. A single document follows itself. Rows that repeat an
+id and its text share a task.
 """
 
 from __future__ import annotations
 
 import base64
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.hashing import gram_hashes, mix, prefix_sums, rightmost_minima
-from gaugeloom.llm.tables import keyed
+from gaugeloom.llm.tables import LAST_ID, keyed
 
 GRAM = 10
 WINDOW = 32
@@ -78,41 +80,65 @@ def _numbered(values: np.ndarray) -> np.ndarray:
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, _text, _next): each document with the text of its follower.
 
-    Ids are cut into ranges at their approximate quantiles, so a window sees one
-    range only. The first document of each range is repeated at the end of the
-    range before; there are as many of these as ranges.
+    Ids are cut into ranges at their approximate quantiles. An id that is the
+    quantile several times over, as the null id may be, is a hot one: its rows are
+    cut by text hash as often. So a window sees one slice of one range only. The
+    first document of each slice is repeated at the end of the slice before; there
+    are as many of these as slices.
     """
-    texts = keyed(docs).drop("_tid")
+    texts = keyed(docs)
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(texts.select(F.col("_doc").cast("double")).approxQuantile("_doc", shares, 0.25 / ranges)))
-    splits = [float("-inf"), *cuts, float("inf")]
+    found = texts.select(F.col("_doc").cast("double")).approxQuantile("_doc", shares, 0.25 / ranges)
+    splits = [float("-inf"), *sorted(set(found)), float("inf")]
     if len(splits) == 2:
         splits.insert(1, 0.0)
+    # At most half as many hot ids as ranges.
+    hot = {min(int(value), LAST_ID): times + 1 for value, times in Counter(found).items() if times > 1}
+    ids = F.array(*map(F.lit, sorted(hot))).cast("array<long>")
+    pieces = F.coalesce(_lookup(hot, F.col("_doc")), F.lit(1))
+    place = (F.col("_tid").cast("double") / float(1 << 64) + 0.5) * pieces
     placed = (
         Bucketizer(splits=splits, inputCol="_at", outputCol="_range")
         .transform(texts.withColumn("_at", F.col("_doc").cast("double")))
-        .withColumn("_range", F.col("_range").cast("int"))
-        .drop("_at")
+        .withColumn(
+            "_slice",
+            # In order: the range, the hot ids below, whether it is one itself, its piece.
+            F.struct(
+                F.col("_range").cast("int").alias("range"),
+                F.size(F.filter(ids, lambda one: one < F.col("_doc"))).alias("below"),
+                F.array_contains(ids, F.col("_doc")).alias("own"),
+                F.when(pieces > 1, F.least(F.floor(place), pieces - 1)).otherwise(F.lit(0)).cast("int").alias("piece"),
+            ),
+        )
+        .drop("_at", "_range")
+    )
+    # One row per slice.
+    heads = (
+        placed.groupBy("_slice")
+        .agg(F.min(F.struct("_doc", "_tid")).alias("_low"))
+        .orderBy("_slice")
+        .collect()
+    )
+    moves = [(row["_low"]["_doc"], row["_low"]["_tid"], heads[i - 1]["_slice"]) for i, row in enumerate(heads)]
+    goes = F.broadcast(
+        spark.createDataFrame(moves, f"_doc long, _tid long, _to {placed.schema['_slice'].dataType.simpleString()}")
     )
-    # One row per range.
-    heads = sorted((row["_range"], row["_low"]) for row in placed.groupBy("_range").agg(F.min("_doc").alias("_low")).collect())
-    moves = [(low, heads[i - 1][0]) for i, (_, low) in enumerate(heads)]
-    goes = F.broadcast(spark.createDataFrame(moves, "_doc long, _to int"))
     firsts = (
-        placed.join(goes, "_doc")
+        placed.join(goes, ["_doc", "_tid"])
         .groupBy("_to")
         .agg(F.min("_text").alias("_text"))
         .select(
             F.lit(None).cast("long").alias("doc_id"),
             F.lit(None).cast("long").alias("_doc"),
+            F.lit(None).cast("long").alias("_tid"),
             "_text",
-            F.col("_to").alias("_range"),
+            F.col("_to").alias("_slice"),
             F.lit(1).alias("_extra"),
         )
     )
-    order = Window.partitionBy("_range").orderBy("_extra", "_doc", "_text")
+    order = Window.partitionBy("_slice").orderBy("_extra", "_doc", "_tid", "_text")
     return (
         placed.withColumn("_extra", F.lit(0))
         .unionByName(firsts)
@@ -122,6 +148,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
+def _lookup(values: dict[int, int], key: Column) -> Column:
+    """The value of a key in a small table, else NULL."""
+    if not values:
+        return F.lit(None).cast("int")
+    pairs = [F.lit(x) for pair in values.items() for x in (F.lit(pair[0]).cast("long"), pair[1])]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -7,7 +7,10 @@ dictionary helps more. A logistic curve turns that into a probability.
 
 Fitting uses a bounded sample of labelled rows: at most `sample_rows` documents of
 each class, chosen by a hash of the id: three of four go into the dictionaries, the
-others calibrate. The bounds are parameters; every document is scored in full. Scores
+others calibrate. Texts are taken whole: a dictionary holds as many of them as fit, one
+longer than `sample_bytes` is left out of it, and the calibrating documents are
+measured in full on the executors. Rows that repeat a labelled id are one document,
+the least text. The bounds are parameters; every document is scored in full. Scores
 depend on the text alone.
 
 Null and empty texts have difference 0 and get the score of that difference;
@@ -29,11 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.tables import text_bytes, text_of
+from gaugeloom.scale import stage
 
 SAMPLE_ROWS = 1500
-# Bytes of text taken from one sampled document for a dictionary, spread evenly.
-SAMPLE_BYTES = 8192
-DICTIONARY_BYTES = 256 << 10
+# A longer text is not sampled for a dictionary; with SAMPLE_ROWS it bounds the driver.
+SAMPLE_BYTES = 64 << 10
+DICTIONARY_BYTES = 4 << 20
 BLOCK_BYTES = 256
 LEVEL = 6
 
@@ -53,15 +57,6 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * difference, -40, 40)))
 
 
-def spread_blocks(text: bytes, total: int = SAMPLE_BYTES, parts: int = 4) -> bytes:
-    """At most `total` bytes as equal parts from all over a text."""
-    if len(text) <= total:
-        return text
-    size = max(1, total // parts)
-    steps = (len(text) - size) / (parts - 1)
-    return b"".join(text[int(i * steps) : int(i * steps) + size] for i in range(parts))
-
-
 @lru_cache(maxsize=4)
 def _compressors(good: bytes, bad: bytes) -> tuple:
     out = []
@@ -108,7 +103,9 @@ def _differences(docs: DataFrame, good: bytes, bad: bytes, keep: list[Column]) -
     return rows.mapInArrow(score, f"{schema}, _difference double")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES
+) -> QualityModel:
     """Fit on (doc_id, quality) rows of `labels`; pass only those to learn from.
 
     Labels other than 0 and 1 are ignored; of repeated ids the lower label counts.
@@ -126,29 +123,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Q
             .limit(sample_rows)
         )
         drawn = part if drawn is None else drawn.unionByName(part)
-    # At most 2 * sample_rows ids: bounded by the parameter.
-    sampled = (
+    # At most 2 * sample_rows ids: bounded by the parameter. An id is one document,
+    # however many rows have it.
+    sampled = stage(
         docs.select(F.col("doc_id").cast("long").alias("_id"), text_of().alias("text"))
         .join(F.broadcast(drawn), "_id")
-        .select("_id", "_label", "text")
+        .groupBy("_id", "_label")
+        .agg(F.min("text").alias("text")),
+        "quality_sample",
     )
-    cut = F.udf(lambda text: spread_blocks(text.encode()), "binary")
-    rows = sampled.select("_id", "_label", cut("text").alias("_sample")).collect()
-    rows.sort(key=lambda row: (row["_id"], row["_sample"]))
+    builds = F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(4)) > 0
+    fits = F.octet_length("text").between(1, sample_bytes)
+    rows = sampled.filter(builds & fits).select("_id", "_label", "text").collect()
+    rows.sort(key=lambda row: row["_id"])
     bodies: dict[int, list[bytes]] = {0: [], 1: []}
-    calibration: list[tuple[int, bytes]] = []
-    for place, row in enumerate(rows):
-        if _builds(row["_id"]):
-            bodies[row["_label"]].append(bytes(row["_sample"]))
-        else:
-            calibration.append((row["_label"], bytes(row["_sample"])))
-    if not all(map(any, bodies.values())):
+    for row in rows:
+        bodies[row["_label"]].append(row["text"].encode())
+    if not all(bodies.values()):
         raise MissingClass("both classes need labelled documents")
     # Equal sizes: a larger dictionary would win whatever it holds.
     size = min(DICTIONARY_BYTES, *(sum(map(len, part)) for part in bodies.values()))
     good, bad = (_dictionary(bodies[label], size) for label in (1, 0))
-    differences = np.array([size_difference(body, good, bad) for _, body in calibration] or [0.0])
-    truth = np.array([label for label, _ in calibration] or [1], float)
+    # One number for each calibrating document, from its whole text.
+    measured = _differences(sampled.filter(~builds), good, bad, [F.col("_id"), F.col("_label")]).collect()
+    measured.sort(key=lambda row: row["_id"])
+    differences = np.array([row["_difference"] for row in measured] or [0.0])
+    truth = np.array([row["_label"] for row in measured] or [1], float)
     slope, offset = logistic(differences, truth)
     return QualityModel(good, bad, slope, offset)
 
@@ -161,18 +161,14 @@ def fit_or_constant(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
         return QualityModel(b"", b"", 0.0, 0.0)
 
 
-def _builds(number: int) -> bool:
-    """Three of four ids, by a fixed mixing step, go into the dictionaries."""
-    return (number * 0x9E3779B97F4A7C15 >> 40) & 3 > 0
-
-
 def _dictionary(bodies: list[bytes], size: int) -> bytes:
-    """`size` bytes at most, shared out evenly; what short samples leave goes on."""
+    """Whole texts in turn that fit into `size` bytes, the shortest one if none does."""
     parts, left = [], size
-    for place, body in enumerate(sorted(bodies, key=lambda body: (len(body), body))):
-        parts.append(spread_blocks(body, max(64, left // (len(bodies) - place)), 4))
-        left = max(0, left - len(parts[-1]))
-    return b"".join(parts)[:size]
+    for body in bodies:
+        if len(body) <= left:
+            parts.append(body)
+            left -= len(body)
+    return b"".join(parts) or min(bodies, key=len)
 
 
 def logistic(x: np.ndarray, truth: np.ndarray) -> tuple[float, float]:

@@ -31,7 +31,7 @@ from gaugeloom.llm.tables import slices
 # under a run below 1 kB, 16 MB at most.
 HOT_ANCHOR = 16_384
 
-ANCHORS = "anchor long, _doc long, n long"
+ANCHORS = "anchor long, _doc long, _tid long, n long"
 REGIONS = "anchor long, _doc long, _tid long, firsts array<long>, n long, body binary, window binary"
 SPANS = "_doc long, _tid long, spans array<struct<first:long,last:long>>"
 SPAN_LIST = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -69,7 +69,7 @@ def window_runs(grams: np.ndarray, gram: int, window: int, offsets: np.ndarray)
 def anchor_rows(batches: Iterator[pa.RecordBatch], find) -> Iterator[pa.RecordBatch]:
     """Distinct anchors of each document with their number of runs."""
     for batch in batches:
-        docs = batch.column("_doc").to_numpy()
+        docs, tids = batch.column("_doc").to_numpy(), batch.column("_tid").to_numpy()
         for low, _, data, offsets in slices(batch.column("_text")):
             runs = find(data, offsets)[0]
             order = np.lexsort((runs.anchor, runs.row))
@@ -81,9 +81,10 @@ def anchor_rows(batches: Iterator[pa.RecordBatch], find) -> Iterator[pa.RecordBa
                 [
                     pa.array(anchor[head]),
                     pa.array(docs[low + row[head]]),
+                    pa.array(tids[low + row[head]]),
                     pa.array(np.diff(np.append(head, len(row)))),
                 ],
-                ["anchor", "_doc", "n"],
+                ["anchor", "_doc", "_tid", "n"],
             )
 
 
@@ -150,23 +151,24 @@ def _listed(runs: Runs, row: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 def regions(docs: DataFrame, find, *, other_document: bool, hot: int = HOT_ANCHOR) -> DataFrame:
     """Rows of REGIONS for all runs whose anchor recurs.
 
-    With `other_document` an anchor must occur in two documents, else twice.
+    With `other_document` an anchor must occur in two documents, else twice. Anchors
+    are listed per distinct text of an id: rows without an id do not share a list.
     """
-    anchors = docs.select("_doc", "_text").mapInArrow(lambda batches: anchor_rows(batches, find), ANCHORS)
+    anchors = docs.select("_doc", "_tid", "_text").mapInArrow(lambda batches: anchor_rows(batches, find), ANCHORS)
     counted = anchors.groupBy("anchor").agg(
         F.sum("n").alias("_n"), F.min("_doc").alias("_low"), F.max("_doc").alias("_high")
     )
     recurs = F.col("_low") < F.col("_high") if other_document else F.col("_n") > 1
     recurring = counted.filter(recurs).select("anchor", (F.col("_n") > hot).alias("hot"))
     hits = (
-        anchors.select("anchor", "_doc")
+        anchors.select("anchor", "_doc", "_tid")
         .join(recurring, "anchor")
-        .groupBy("_doc")
+        .groupBy("_doc", "_tid")
         .agg(F.collect_set(F.struct("anchor", "hot")).alias("_hits"))
     )
     return (
         docs.select("_doc", "_tid", "_text")
-        .join(hits, "_doc")
+        .join(hits, ["_doc", "_tid"])
         .mapInArrow(lambda batches: region_rows(batches, find), REGIONS)
     )
 
@@ -207,8 +209,8 @@ def bucket_groups(batches: Iterator[pa.RecordBatch], size) -> Iterator[list[tupl
 
 
 def span_rows(found: dict[tuple[int, int], list[tuple[int, int]]]) -> pa.RecordBatch:
-    """Rows of SPANS from the spans of each (document, text)."""
-    spans = [[{"first": low, "last": high} for low, high in own] for own in found.values()]
+    """Rows of SPANS from the distinct spans of each (document, text)."""
+    spans = [[{"first": low, "last": high} for low, high in sorted(set(own))] for own in found.values()]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([doc for doc, _ in found], pa.int64()),
@@ -220,8 +222,11 @@ def span_rows(found: dict[tuple[int, int], list[tuple[int, int]]]) -> pa.RecordB
 
 
 def spans_by_document(spans: DataFrame) -> DataFrame:
-    """One sorted list of spans per document; a document bounds its length."""
-    return spans.groupBy("_doc", "_tid").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
+    """One sorted list of spans per document; its text bounds the length.
+
+    Rows that repeat a document report the same spans, which count once.
+    """
+    return spans.groupBy("_doc", "_tid").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("_spans"))
 
 
 def runs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.scale import stage
+from gaugeloom.scale import spread_join, stage
 
 # (host, path, verdict): the host and its subdomains, paths that start alike.
 RULES = (
@@ -38,6 +38,7 @@ ORDER = 4
 ALPHABET = 256
 # Scores per cut step; the cut is found on counts per step.
 STEPS_PER_UNIT = 100
+SCORE_DIGITS = 9
 
 _PAD = "\u0002"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -97,17 +98,28 @@ def gram_scores(full: DataFrame, counts: DataFrame) -> DataFrame:
     `full` has distinct full grams. Unseen ones fall back to shorter contexts.
     """
     kinds = ("allow", "block")
-    contexts = counts.groupBy(F.substr("gram", F.lit(1), F.length("gram") - 1).alias("context")).agg(
-        *[F.sum(kind).alias(f"{kind}_total") for kind in kinds],
-        *[F.sum((F.col(kind) > 0).cast("long")).alias(f"{kind}_kinds") for kind in kinds],
+    sums = [F.sum(kind).alias(f"{kind}_total") for kind in kinds]
+    sums += [F.sum((F.col(kind) > 0).cast("long")).alias(f"{kind}_kinds") for kind in kinds]
+    contexts = (
+        counts.filter(F.length("gram") > 1)
+        .groupBy(F.substr("gram", F.lit(1), F.length("gram") - 1).alias("context"))
+        .agg(*sums)
     )
+    # Single characters share the empty context: one row of totals, no join.
+    empty = counts.filter(F.length("gram") == 1).agg(*sums).first().asDict()
     levels = full.select(
         "full",
         F.explode(F.sequence(F.lit(1), F.lit(ORDER + 1))).alias("size"),
     ).withColumn("gram", F.substr("full", F.lit(ORDER + 2) - F.col("size"), F.col("size")))
-    levels = levels.withColumn("context", F.substr("gram", F.lit(1), F.col("size") - 1))
+    # Their key, the full gram, is longer than any context, so it meets none.
+    single = F.col("size") == 1
+    levels = levels.withColumn(
+        "context", F.when(single, F.col("full")).otherwise(F.substr("gram", F.lit(1), F.col("size") - 1))
+    )
     facts = levels.join(counts, "gram", "left").join(contexts, "context", "left")
-    names = [*kinds, *(f"{kind}_{what}" for kind in kinds for what in ("total", "kinds"))]
+    for name, total in empty.items():
+        facts = facts.withColumn(name, F.when(single, F.lit(total or 0)).otherwise(F.col(name)))
+    names = [*kinds, *empty]
     folded = facts.groupBy("full").agg(
         F.sort_array(
             F.collect_list(F.struct("size", *[F.coalesce(name, F.lit(0)).cast("double").alias(name) for name in names]))
@@ -161,16 +173,20 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     )
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     addresses = addresses.select("page_id", "host", "path", "text", rule.alias("rule"), verdict.alias("_verdict"))
-    # Equal addresses are scored once.
+    # Equal addresses are scored once. The staged file may be a single one: its grams
+    # are spread over all tasks.
     texts = stage(
         addresses.groupBy("text")
         .agg(
             F.sum((F.col("_verdict") == "allow").cast("long")).alias("allow"),
             F.sum((F.col("_verdict") == "block").cast("long")).alias("block"),
+            F.count("*").alias("rows"),
         )
-        .select("text", F.coalesce("allow", F.lit(0)).alias("allow"), F.coalesce("block", F.lit(0)).alias("block")),
+        .select(
+            "text", F.coalesce("allow", F.lit(0)).alias("allow"), F.coalesce("block", F.lit(0)).alias("block"), "rows"
+        ),
         "addresses",
-    )
+    ).repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
     left_out = F.pmod(F.xxhash64("text", F.lit("held")), F.lit(5)) == 0
     examples = texts.filter(~left_out & (F.col("allow") + F.col("block") > 0))
     places = texts.filter(F.length("text") > 0).select("text", F.explode(grams_of(F.col("text"))).alias("full"))
@@ -180,17 +196,18 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     scores = stage(
         held.join(ratios, "full")
         .groupBy("text")
-        .agg((F.sum(F.col("ratio") * F.col("times")) / F.sum("times")).alias("score")),
+        # Rounded: the order of a sum depends on the shuffle.
+        .agg(F.round(F.sum(F.col("ratio") * F.col("times")) / F.sum("times"), SCORE_DIGITS).alias("score")),
         "scores",
     )
     known = texts.join(scores, "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     kinds = examples.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
     if kinds["allow"] and kinds["block"]:
         cut = best_cut(known.filter(left_out & (F.col("allow") + F.col("block") > 0)))
-        judged = known.select("text", F.when(F.col("score") >= cut, "allow").otherwise("block").alias("_model"))
+        judged = known.select("text", F.when(F.col("score") >= cut, "allow").otherwise("block").alias("_model"), "rows")
     else:
-        judged = known.select("text", F.lit("allow").alias("_model"))
+        judged = known.select("text", F.lit("allow").alias("_model"), "rows")
     return (
-        addresses.join(judged, "text", "left")
+        spread_join(addresses, judged, ["text"], size="rows", how="left")
         .select("page_id", "host", "path", "rule", F.coalesce("_verdict", "_model").alias("verdict"))
     )
