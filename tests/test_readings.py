@@ -15,12 +15,12 @@ def table(spark, rows):
 
 
 def test_group_by_device_keeps_page_order(spark):
-    first = table(spark, [("b", "t1", "{}", 1), ("a", "t2", "{}", 2), (None, "t9", "{}", 3)])
-    second = table(spark, [("a", "t3", "{}", 4)])
+    first = table(spark, [("pump", "m4", "{}", 1), (None, "m5", "{}", 2), ("fan", "m6", "{}", 3)])
+    second = table(spark, [("pump", "m7", "{}", 4), ("fan", "m6", "{}", 5)])
     grouped = readings.group_by_device([first, second])
-    assert [r.sn for r in readings.distinct_devices(grouped).collect()] == ["a", "b"]
-    rows = grouped.where("sn = 'a'").orderBy("seq").collect()
-    assert [r.date for r in rows] == ["t2", "t3"]
+    assert [r.sn for r in readings.distinct_devices(grouped).collect()] == ["fan", "pump"]
+    rows = grouped.where("sn = 'pump'").orderBy("seq").collect()
+    assert [r.date for r in rows] == ["m4", "m7"]
 
 
 def test_feature_order_and_pivot(spark):
@@ -46,14 +46,16 @@ def test_feature_order_and_pivot(spark):
 def test_merge_and_sort_is_stable(spark, slices):
     names = "sn string, date string, seq bigint, marker string"
     first = spark.createDataFrame(
-        [("d", "2020-01-02", 1, "late"), ("d", "2020-01-01", 2, "first")], names
+        [("d", "2023-05-09", 1, "z"), ("d", "2023-05-07", 2, "x"), ("d", "2023-05-08", 3, "w")], names
     )
-    second = spark.createDataFrame([("d", "2020-01-01", 3, "second")], names)
+    second = spark.createDataFrame([("d", "2023-05-07", 4, "y"), ("d", "2023-05-06", 5, "v")], names)
     merged = readings.merge_and_sort([first, second], slices=slices)
     assert [r.marker for r in merged.orderBy("position").collect()] == [
-        "first",
-        "second",
-        "late",
+        "v",
+        "x",
+        "y",
+        "w",
+        "z",
     ]
 
 

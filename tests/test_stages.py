@@ -62,11 +62,13 @@ def test_unsafe_device_name_stops_the_run(spark):
 
 
 @pytest.mark.parametrize(
-    "bad", [{"points": 1}, {"p_max": -1}, {"batch_rows": 0}, {"q_max": True}, {"mode": "legacy"}]
+    "name, bad, output",
+    [("points", 1, "grid"), ("bins", 0, "histogram"), ("q_max", True, "orders"), ("max_differences", -1, "orders")],
 )
-def test_options_are_checked(bad):
-    with pytest.raises(ValueError):
-        PipelineOptions(**bad)
+def test_operators_check_the_options(spark, name, bad, output):
+    options = PipelineOptions(mode=Mode.CORRECTED, **{"points": 16, name: bad})
+    with pytest.raises(ValueError, match=name):
+        getattr(run_pipeline(readings(spark, "dev"), options), output)
 
 
 def test_no_window_holds_a_whole_series(spark, series):
