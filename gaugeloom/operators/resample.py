@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeloom.schema import GRID_POINTS, KEY, require_count
+from gaugeloom.scale import number_rows, stage
+from gaugeloom.schema import GRID_POINTS, KEY, Mode, require_count
 
 # Times are whole seconds, so a block of this width holds at most this many
 # rows once duplicates are gone, however large the series is.
@@ -24,6 +27,19 @@ def epoch_seconds(series: DataFrame) -> DataFrame:
     )
 
 
+def _timed(series: DataFrame) -> DataFrame:
+    """Rows with a date and a number, their time as bigint."""
+    return series.where(
+        F.col("date").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
+    ).withColumn("time", F.unix_timestamp("date", DATE_PATTERN))
+
+
+def _block(block_seconds: int) -> Column:
+    # Not nullable, so that a join on it adds no filter of its own to one
+    # side and both sides share this shuffle.
+    return F.coalesce(F.floor(F.col("time") / block_seconds), F.lit(0))
+
+
 def _first_per_time(series: DataFrame, block_seconds: int) -> DataFrame:
     """First row of each time, laid out by (series, time block), time as bigint.
 
@@ -31,17 +47,10 @@ def _first_per_time(series: DataFrame, block_seconds: int) -> DataFrame:
     can name the same second; the windows keep the one that sorts first.
     """
     reduced = (
-        series.where(
-            F.col("date").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
-        )
-        .withColumn("time", F.unix_timestamp("date", DATE_PATTERN))
+        _timed(series)
         .groupBy(*KEY, "time", "date")
         .agg(F.min_by("value", "seq").alias("data"))
-        # Not nullable, so that a join on it adds no filter of its own to one
-        # side and both sides share this shuffle.
-        .withColumn(
-            "block", F.coalesce(F.floor(F.col("time") / block_seconds), F.lit(0))
-        )
+        .withColumn("block", _block(block_seconds))
     )
     by_time = Window.partitionBy(*KEY, "block").orderBy("time", "date")
     return (
@@ -51,6 +60,39 @@ def _first_per_time(series: DataFrame, block_seconds: int) -> DataFrame:
     )
 
 
+def zip_in_input_order(
+    series: DataFrame,
+    order: Sequence[str] = ("date", "seq"),
+    *,
+    slices: int | None = None,
+) -> DataFrame:
+    """The n-th distinct time with the n-th first occurrence of a time in `order`.
+
+    The old data behaviour: times are sorted, values are not. On rows sorted by time
+    it changes nothing. Both positions come from range slices, so a series may be of
+    any length; ties in `order` follow value and time.
+    """
+    firsts = stage(
+        _timed(series)
+        .groupBy(*KEY, "time")
+        .agg(F.min(F.struct(*order, "value")).alias("first")),
+        "first_rows",
+    )
+    times = number_rows(
+        firsts.select(*KEY, "time"), ["time"], within=KEY, name="n", slices=slices
+    )
+    values = number_rows(
+        firsts.withColumnRenamed("time", "own_time"),
+        ["first", "own_time"],
+        within=KEY,
+        name="n",
+        slices=slices,
+    )
+    return times.join(values, [*KEY, "n"]).select(
+        *KEY, "time", F.col("first.value").alias("data")
+    )
+
+
 def dedupe_timestamps(
     series: DataFrame, *, block_seconds: int = BLOCK_SECONDS
 ) -> DataFrame:
@@ -64,18 +106,26 @@ def interpolate_series(
     series: DataFrame,
     points: int = GRID_POINTS,
     *,
+    mode: Mode = Mode.CORRECTED,
+    order: Sequence[str] = ("date", "seq"),
     block_seconds: int = BLOCK_SECONDS,
 ) -> DataFrame:
     """Piecewise-linear values on `points` evenly spaced times per series.
 
+    Corrected mode sorts rows by time. Legacy mode sorts the times alone and keeps
+    the values in input `order` (see `zip_in_input_order`).
+
     Each pair of neighbouring rows emits the grid points between them, so there
     is no join with the grid. Neighbours come from windows over (series, block);
     the last row of a block finds its neighbour in a table with one row per
     block. Series with fewer than two distinct times vanish.
     """
     require_count(points, "points", 2)
-    firsts = _first_per_time(series, block_seconds)
-    by_time = Window.partitionBy(*KEY, "block").orderBy("time", "date")
+    if mode is Mode.CORRECTED:
+        firsts = _first_per_time(series, block_seconds)
+    else:
+        firsts = zip_in_input_order(series, order).withColumn("block", _block(block_seconds))
+    by_time = Window.partitionBy(*KEY, "block").orderBy("time")
     segments = firsts.select(
         *KEY,
         "block",

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.text import checked_series_name
 from gaugeloom.operators import clean, diagnose, lags, profile, resample
 from gaugeloom.operators import readings as reading_operators
 from gaugeloom.operators import series as series_operators
-from gaugeloom.scale import stage
+from gaugeloom.scale import new_shared_path, stage
 from gaugeloom.schema import KEY, PipelineOptions
 from gaugeloom.sources.sinks import write_once, write_series
 
@@ -102,7 +102,10 @@ class Stages:
     @cached_property
     def grid(self) -> DataFrame:
         return stage(
-            resample.interpolate_series(self.cleaned, self.options.points), "grid"
+            resample.interpolate_series(
+                self.cleaned, self.options.points, mode=self.options.mode
+            ),
+            "grid",
         )
 
     @cached_property
@@ -138,32 +141,44 @@ def run_pipeline(
     return Stages(readings, options or PipelineOptions())
 
 
-def stage_counts(stages: Stages) -> DataFrame:
-    """Rows, devices and series of every output but the model orders."""
+def stage_counts(stages: Stages, root: str | None = None) -> DataFrame:
+    """Rows, devices and series of every output, which is written once below `root`.
+
+    Rows are counted as they are written; devices and series come from the key
+    columns of the written files, so no stage runs again. Without a root the outputs
+    go to the shared folder.
+    """
+    spark = stages.readings.sparkSession
+    root = root or new_shared_path(spark, "outputs")
+    rows = write_pipeline(stages, root)
 
     def counted(name: str) -> DataFrame:
-        table = getattr(stages, name)
+        output = STAGE_OUTPUTS[name]
+        table = spark.read.schema(getattr(stages, name).schema).parquet(f"{root}/{output}")
         keys = [key for key in KEY if key in table.columns]
-        # One row per series first: no row is copied for the distinct counts.
-        per_series = table.groupBy(*keys).agg(F.count("*").alias("rows"))
         series = F.count("*") if len(keys) == len(KEY) else F.lit(None).cast("bigint")
-        return per_series.agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.count_distinct("sn").alias("devices"),
-            series.alias("series"),
-        ).select(F.lit(STAGE_OUTPUTS[name]).alias("output"), "rows", "devices", "series")
-
-    # The model orders have a row per grid series; counting them would fit them.
-    first, *rest = (counted(name) for name in STAGE_OUTPUTS if name != "orders")
+        return (
+            table.select(*keys)
+            .distinct()
+            .agg(F.count_distinct("sn").alias("devices"), series.alias("series"))
+            .select(
+                F.lit(output).alias("output"),
+                F.lit(rows[output]).cast("bigint").alias("rows"),
+                "devices",
+                "series",
+            )
+        )
+
+    first, *rest = map(counted, STAGE_OUTPUTS)
     for other in rest:
         first = first.unionByName(other)
     return first
 
 
-def write_pipeline(stages: Stages, root: str) -> None:
+def write_pipeline(stages: Stages, root: str) -> dict[str, int]:
     """Every stage output below `root`; nothing existing is replaced.
 
-    All targets are checked before any work, and a failure names its output.
+    Returns the number of rows written per output, observed by the writing jobs. All targets are checked before any work, and a failure names its output.
     """
     paths = {name: f"{root.rstrip('/')}/{output}" for name, output in STAGE_OUTPUTS.items()}
     context = stages.readings.sparkSession.sparkContext
@@ -171,16 +186,14 @@ def write_pipeline(stages: Stages, root: str) -> None:
         target = context._jvm.org.apache.hadoop.fs.Path(path)
         if target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target):
             raise FileExistsError(f"output exists: {path}")
+    rows = {}
     for name, path in paths.items():
+        counted = Observation()
+        write = write_series if name in SERIES_OUTPUTS else write_once
         try:
-            _write(stages, name, path)
+            write(getattr(stages, name), path, counted=counted)
         except Exception as error:
             error.add_note(f"while writing {STAGE_OUTPUTS[name]} ({name})")
             raise
-
-
-def _write(stages: Stages, name: str, path: str) -> None:
-    if name in SERIES_OUTPUTS:
-        write_series(getattr(stages, name), path)
-    else:
-        write_once(getattr(stages, name), path)
+        rows[STAGE_OUTPUTS[name]] = counted.get["rows"]
+    return rows

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from gaugeloom.operators import resample
+from gaugeloom.schema import Mode
 
 
 def date(second):
@@ -75,3 +76,36 @@ def test_against_numpy(spark, series, block, points):
         [r.data for r in found], np.interp(grid, times, values[first]), atol=1e-6
     )
     assert found[-1].time - start == times[-1]
+
+
+@pytest.mark.parametrize("slices", [None, 5])
+def test_legacy_mode_keeps_the_values_in_input_order(spark, series, slices):
+    """Against sorted times beside the first values of each time in row order."""
+    rng = np.random.default_rng(3)
+    seconds = rng.integers(0, 400, 250)
+    values = rng.normal(size=seconds.size)
+    rows = series(values, dates=[date(s) for s in seconds])
+    places = np.sort(np.unique(seconds, return_index=True)[1])
+    times, kept = np.unique(seconds), values[places]
+    start = 1577836800
+    zipped = resample.zip_in_input_order(rows, ("seq",), slices=slices).orderBy("time").collect()
+    assert [(r.time - start, r.data) for r in zipped] == list(zip(times, kept))
+    found = resample.interpolate_series(rows, 90, mode=Mode.LEGACY, order=("seq",), block_seconds=50)
+    np.testing.assert_allclose(
+        [r.data for r in found.orderBy("idx").collect()],
+        np.interp(np.linspace(times[0], times[-1], 90), times, kept),
+        atol=1e-6,
+    )
+
+
+def test_modes_agree_on_rows_sorted_by_time(spark, series):
+    rows = series([4, 1, 3, 9], dates=[date(s) for s in (0, 3, 3, 8)])
+    grids = [resample.interpolate_series(rows, 5, mode=mode).orderBy("idx").collect() for mode in Mode]
+    assert grids[0] == grids[1]
+
+
+def test_legacy_order_of_date_text(spark, series):
+    """The 10th sorts before the 9th as text, so their values change places."""
+    rows = series([1, 2], dates=["2020-1-9 0:0:0", "2020-1-10 0:0:0"])
+    legacy = resample.interpolate_series(rows, 2, mode=Mode.LEGACY).orderBy("idx").collect()
+    assert [r.data for r in legacy] == [2, 1]

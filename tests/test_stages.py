@@ -32,7 +32,8 @@ def readings(spark, sn="device-a"):
 def test_every_stage_has_output(spark, tmp_path, mode):
     options = PipelineOptions(mode=mode, points=32, bins=8, p_max=1, q_max=0)
     stages = run_pipeline(readings(spark), options)
-    counts = {r.output: (r.rows, r.devices, r.series) for r in stage_counts(stages).collect()}
+    root = str(tmp_path / "out")
+    counts = {r.output: (r.rows, r.devices, r.series) for r in stage_counts(stages, root).collect()}
     assert counts == {
         "DataProcess1": (20, 1, None),
         "DataProcess2": (40, 1, 2),
@@ -44,18 +45,23 @@ def test_every_stage_has_output(spark, tmp_path, mode):
         "DataProcess7Kept": (40, 1, 2),
         "DataProcess8": (40, 1, 2),
         "DataProcess9": (64, 1, 2),
+        "DataProcess10": (2, 1, 2),
         "DataProcess11": (16, 1, 2),
         "DataProcess12": (2, 1, 2),
         "DataProcess13": (2, 1, 2),
     }
-    root = str(tmp_path / "out")
-    write_pipeline(stages, root)
     for output in STAGE_OUTPUTS.values():
-        assert spark.read.parquet(f"{root}/{output}").count() > 0, output
+        assert spark.read.parquet(f"{root}/{output}").count() == counts[output][0], output
     with pytest.raises(Exception, match="(?i)exists"):
         write_pipeline(stages, root)
 
 
+def test_counts_of_no_readings(spark):
+    options = PipelineOptions(mode=Mode.CORRECTED, points=8, bins=2)
+    counts = stage_counts(run_pipeline(readings(spark).limit(0), options)).collect()
+    assert len(counts) == len(STAGE_OUTPUTS) and not any(r.rows or r.devices for r in counts)
+
+
 def test_unsafe_device_name_stops_the_run(spark):
     with pytest.raises(Exception, match="unsafe"):
         run_pipeline(readings(spark, "../escape")).features
@@ -77,6 +83,7 @@ def test_no_window_holds_a_whole_series(spark, series):
     tables = {
         "cleaned": clean.remove_outliers(rows),
         "grid": resample.interpolate_series(rows, 32),
+        "legacy grid": resample.interpolate_series(rows, 32, mode=Mode.LEGACY),
         "first": resample.dedupe_timestamps(rows),
         "verdicts": diagnose.classify_series(rows),
         "merged": merge_and_sort([rows]),
