@@ -30,6 +30,8 @@ LITERAL_PIECE = (
     r"|[+-]?(?:\d++\.?\d*+|\.\d++)(?:[eE][+-]?\d++)?+|True|False|None)"
 )
 _LITERAL_PAIR = rf"{LITERAL_PIECE}\s*+:\s*+{LITERAL_PIECE}\s*+".replace("(?s)", "")
+# Plain text, an escape by number, or any other escape.
+ESCAPED_PIECE = r"[^\\]++|\\[0-7]{1,3}|\\U[0-9a-fA-F]{8}|(?s:\\.)"
 FLAT_LITERAL = rf"(?s)^\{{\s*+(?:{_LITERAL_PAIR}(?:,\s*+{_LITERAL_PAIR})*+,?\s*+)?\}}\z"
 
 END_MARK = "end of the payload"
@@ -104,13 +106,46 @@ def legacy_pairs(data: Column) -> Column:
     ).otherwise(_no_pairs())
 
 
+def _unicode_escape(code: Column) -> Column:
+    """JSON escape of a code point, a pair of surrogates beyond the first plane."""
+
+    def unit(number: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lpad(F.hex(number), 4, "0"))
+
+    beyond = code - 0x10000
+    pair = F.concat(
+        unit(F.shiftright(beyond, 10) + 0xD800), unit(beyond.bitwiseAND(0x3FF) + 0xDC00)
+    )
+    return F.when(code > 0x10FFFF, F.lit(None)).when(code > 0xFFFF, pair).otherwise(unit(code))
+
+
+def _as_json_escapes(body: Column) -> Column:
+    """Octal escapes, eight-digit ones, bell, tab and joined lines spelled as in JSON."""
+
+    def spelled(piece: Column) -> Column:
+        code = F.when(
+            piece.rlike(r"\A\\[0-7]{1,3}\z"), F.conv(F.substr(piece, F.lit(2)), 8, 10)
+        ).when(piece.rlike(r"\A\\U.{8}\z"), F.conv(F.substr(piece, F.lit(3)), 16, 10))
+        return (
+            F.when(code.isNotNull(), _unicode_escape(code.cast("bigint")))
+            .when(piece == "\\a", F.lit("\\u0007"))
+            .when(piece == "\\v", F.lit("\\u000b"))
+            .when(piece == "\\\n", F.lit(""))
+            .otherwise(piece)
+        )
+
+    pieces = F.regexp_extract_all(body, F.lit(ESCAPED_PIECE), F.lit(0))
+    joined = F.concat(F.lit(""), F.array_join(F.transform(pieces, spelled), "", "\\N"))
+    return F.when(body.rlike(r"\\[0-7avU\n]"), joined).otherwise(body)
+
+
 def _literal_text(token: Column) -> Column:
     """Text of one piece of a dict literal; NULL if it holds an unknown escape.
 
     A quoted piece is spelled as JSON text and decoded as such. An escape counts
     only behind an even number of backslashes.
     """
-    body = F.regexp_extract(token, r"(?s)^[uU]?(['\"])(.*)\1\z", 2)
+    body = _as_json_escapes(F.regexp_extract(token, r"(?s)^[uU]?(['\"])(.*)\1\z", 2))
     for pattern, spelled in (
         (r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2"),
         (r"\\'", "$1'"),

@@ -136,9 +136,25 @@ timed AS (
     PARTITION BY sn, feature, date ORDER BY seq) = 1)"""
 
 
-def _grid(source: str) -> str:
+def _zipped_rows(source: str) -> str:
+    return f""",
+firsts AS (
+  SELECT sn, feature, epoch(CAST(date AS TIMESTAMP)) AS time, min(seq) AS first_seq,
+    arg_min(value, seq) AS data
+  FROM {source} GROUP BY ALL),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY sn, feature ORDER BY time) AS by_time,
+    row_number() OVER (PARTITION BY sn, feature ORDER BY first_seq, data, time) AS by_seq
+  FROM firsts),
+timed AS (
+  SELECT t.sn, t.feature, t.time, v.data
+  FROM places t JOIN places v
+    ON t.sn = v.sn AND t.feature = v.feature AND t.by_time = v.by_seq)"""
+
+
+def _grid(source: str, rows=_first_rows) -> str:
     return (
-        _first_rows(source)
+        rows(source)
         + f""",
 spans AS (
   SELECT sn, feature, min(time) AS start, max(time) AS stop,
@@ -148,7 +164,7 @@ segments AS (
   SELECT sn, feature, time AS t0, data AS v0,
     lead(time) OVER w AS t1, lead(data) OVER w AS v1
   FROM timed WINDOW w AS (PARTITION BY sn, feature ORDER BY time)),
-places AS (
+segment_places AS (
   SELECT g.sn, g.feature, t0, v0, t1, v1, start, stop, step,
     unnest(generate_series(
       CAST(ceil((t0 - start) / step) AS INTEGER),
@@ -158,7 +174,7 @@ places AS (
   WHERE t1 IS NOT NULL),
 placed AS (
   SELECT *, CASE WHEN idx = {POINTS - 1} THEN stop
-                 ELSE start + idx * step END AS time FROM places),
+                 ELSE start + idx * step END AS time FROM segment_places),
 grid AS (
   SELECT sn, feature, CAST(idx AS INTEGER) AS idx, time,
     v0 + (v1 - v0) / (t1 - t0) * (time - t0) AS data
@@ -357,6 +373,8 @@ FROM (
 SELECT sn, feature, count(*) AS rows, CAST(1 AS BIGINT) AS folders,
   round(sum(value), 4) AS total
 FROM series GROUP BY sn, feature""",
+    "write_once": f"""WITH {READINGS}
+SELECT sn, date, data, slave_id, type_id, seq FROM readings""",
     "valid_series_name": f"""
 SELECT valid, count(*) AS names FROM (
   SELECT length(name) BETWEEN 1 AND 128
@@ -387,6 +405,15 @@ SELECT sn, date, seq, pos, feature, value, slave_id, type_id FROM features""",
     "bad_payloads": """
 SELECT conv_id, turn FROM conversations
 WHERE CASE WHEN json_valid(text) THEN json_type(text) <> 'OBJECT' ELSE true END""",
+    "bad_readings": f"""WITH {READINGS},{LEGACY_READINGS},
+both_kinds AS (
+  SELECT sn, data, seq, seq AS own FROM readings
+  UNION ALL SELECT sn, data, seq, -seq - 1 FROM legacy_readings)
+SELECT own AS seq, b.sn, substr(data, 1, length(data) - 1) AS data
+FROM both_kinds b JOIN events e ON own = e.event_id WHERE e.value > 25""",
+    "device_positions": """
+SELECT row_number() OVER (ORDER BY sn) AS position, sn
+FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS sn FROM events)""",
     "feature_order": f"""WITH {LEGACY_FEATURES},
 seen AS (
   SELECT sn, feature, min((seq, pos)) AS place
@@ -467,6 +494,16 @@ FROM (SELECT *, unnest(range({POINTS})) AS i FROM spans)""",
 SELECT sn, feature, idx, round(time, 3) AS time, round(data, 6) AS data FROM grid""",
     "interpolate_lineitem": f"""WITH {LINEITEM_SERIES}{_grid('series')}
 SELECT sn, feature, idx, round(time, 3) AS time, round(data, 6) AS data FROM grid""",
+    "interpolate_legacy": f"""{EVENTS_CLEANED}{_grid('cleaned', _zipped_rows)}
+SELECT sn, feature, CAST(idx // 1000 AS BIGINT) AS block, count(*) AS points,
+  round(avg(time), 2) AS time, round(avg(data), 6) AS data,
+  round(min(data), 6) AS low, round(max(data), 6) AS high
+FROM grid GROUP BY ALL""",
+    "zip_in_input_order": f"""WITH {LINEITEM_SERIES}{_zipped_rows('series')}
+SELECT sn, feature, time, data FROM timed""",
+    "statistics_order": f"""{EVENTS_CLEANED}
+SELECT row_number() OVER (ORDER BY lower(file), file) AS position, file, mean
+FROM ({_summary('cleaned', 'value')})""",
     "summary_statistics": f"{EVENTS_GRID} {_summary('grid', 'data')}",
     "linear_trend": f"""{EVENTS_CLEANED}
 {_trend('cleaned', 'epoch(CAST(date AS TIMESTAMP))', 'value')}""",
@@ -618,6 +655,9 @@ FROM ranked WHERE place = 1""",
     "missing_keys": _key_difference(
         "customer", "c_custkey", "supplier", "s_suppkey", "missing"
     ),
+    "missing_labels": """
+SELECT DISTINCT CAST(d.doc_id AS VARCHAR) AS path, 'missing' AS kind
+FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "unexpected_keys": _key_difference(
         "orders", "o_orderkey", "lineitem", "l_orderkey", "unexpected"
     ),
@@ -644,6 +684,50 @@ FROM documents WHERE text <> lower(text)""",
     "compare_tables": f"""{CELLS}
 SELECT CAST(event_id AS VARCHAR) AS path, column_no, 'value' AS kind, expected, actual
 FROM unequal""",
+    "multiset_diff": f"""
+WITH changed AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag,
+    l_quantity + CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END AS l_quantity,
+    unnest(range(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END)) AS copy
+  FROM lineitem WHERE l_shipdate >= DATE '1994-01-01'),
+counts AS (
+  SELECT key, cells, sum(e) AS e, sum(a) AS a FROM (
+    SELECT l_orderkey AS key, [CAST(l_linenumber AS VARCHAR), CAST(l_quantity AS VARCHAR),
+      l_returnflag] AS cells, 1 AS e, 0 AS a FROM lineitem
+    UNION ALL
+    SELECT l_orderkey, [CAST(l_linenumber AS VARCHAR), CAST(l_quantity AS VARCHAR),
+      l_returnflag], 0, 1 FROM changed)
+  GROUP BY ALL),
+totals AS (SELECT key, sum(e) AS e, sum(a) AS a FROM counts GROUP BY key),
+open_rows AS (
+  SELECT c.key, cells, c.e > c.a AS mine,
+    unnest(range(CAST(abs(c.e - c.a) AS BIGINT))) AS copy
+  FROM counts c JOIN totals t ON c.key = t.key WHERE t.e > 0 AND t.a > 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key, mine ORDER BY cells) AS n FROM open_rows),
+paired AS (
+  SELECT coalesce(x.key, y.key) AS key, x.cells AS expected, y.cells AS actual
+  FROM (SELECT * FROM placed WHERE mine) x
+  FULL JOIN (SELECT * FROM placed WHERE NOT mine) y ON x.key = y.key AND x.n = y.n),
+cells AS (
+  SELECT key, column_no, expected[column_no] AS expected, actual[column_no] AS actual
+  FROM paired, unnest([1, 2, 3]) AS t(column_no)
+  WHERE expected IS NOT NULL AND actual IS NOT NULL)
+SELECT '.' AS path, CAST(NULL AS INTEGER) AS column_no, 'row_count' AS kind,
+  CAST(sum(e) AS VARCHAR) AS expected, CAST(sum(a) AS VARCHAR) AS actual
+FROM totals HAVING sum(e) <> sum(a)
+UNION ALL
+SELECT CAST(key AS VARCHAR), NULL, CASE WHEN a = 0 THEN 'missing' ELSE 'unexpected' END,
+  NULL, NULL FROM totals WHERE e = 0 OR a = 0
+UNION ALL
+SELECT CAST(key AS VARCHAR), NULL,
+  CASE WHEN actual IS NULL THEN 'missing_row' ELSE 'unexpected_row' END,
+  '["' || array_to_string(expected, '","') || '"]',
+  '["' || array_to_string(actual, '","') || '"]'
+FROM paired WHERE expected IS NULL OR actual IS NULL
+UNION ALL
+SELECT CAST(key AS VARCHAR), column_no, 'value', expected, actual
+FROM cells WHERE expected <> actual""",
     "compare_folders": f"""WITH {READINGS},
 placed AS (
   SELECT *, row_number() OVER (ORDER BY seq) - 1 AS place FROM readings),
@@ -678,7 +762,7 @@ UNION ALL SELECT 'DataProcess7', count(*), count(DISTINCT sn), count(*) FROM ver
 UNION ALL SELECT 'DataProcess7Kept', count(*), count(DISTINCT sn),
   count(DISTINCT (sn, feature)) FROM kept
 UNION ALL SELECT 'DataProcess11', {HISTOGRAM_BINS} * count(*), count(DISTINCT sn), count(*) FROM spread
-UNION ALL SELECT unnest(['DataProcess12', 'DataProcess13']), count(*), count(DISTINCT sn),
+UNION ALL SELECT unnest(['DataProcess10', 'DataProcess12', 'DataProcess13']), count(*), count(DISTINCT sn),
   count(*) FROM spread""",
     "stage_outputs": f"""{EVENTS_GRID}{VERDICTS}
 SELECT g.sn, g.feature, g.sn || '_' || g.feature || '.csv' AS file, v.kind,

@@ -21,7 +21,7 @@ from gaugeloom.operators import (
     series,
 )
 from gaugeloom.plans.stages import run_pipeline, stage_counts
-from gaugeloom.scale import new_shared_path, stage
+from gaugeloom.scale import new_shared_path, number_rows, stage
 from gaugeloom.schema import GRID_POINTS, KEY, Mode, PipelineOptions
 from gaugeloom.sources import adapters, pages, paging, sinks
 
@@ -170,6 +170,13 @@ def write_series(spark, directory):
     )
 
 
+def write_once(spark, directory):
+    """Write the readings once, read them back."""
+    path = new_shared_path(spark, "written")
+    sinks.write_once(_readings(spark, directory), path)
+    return spark.read.parquet(path)
+
+
 def valid_names(spark, directory):
     """Name check over page addresses, documents' sources and customer names."""
     names = (
@@ -244,6 +251,25 @@ def bad_payloads(spark, directory):
     return readings.bad_payloads(turns).select("conv_id", "turn")
 
 
+def bad_readings(spark, directory):
+    """Payloads of both spellings, those of high values without their last mark."""
+    events = _events(spark, directory)
+    high = events.where("value > 25").select(F.col("event_id").alias("seq"))
+    both = _readings(spark, directory).unionByName(
+        _legacy_readings(spark, directory).withColumn("seq", -F.col("seq") - 1)
+    )
+    damaged = both.join(high.withColumn("high", F.lit(True)), "seq", "left").withColumn(
+        "data", F.when(F.col("high"), F.expr("left(data, length(data) - 1)")).otherwise(F.col("data"))
+    )
+    return readings.bad_payloads(damaged).select("seq", "sn", "data")
+
+
+def device_positions(spark, directory):
+    """Devices numbered in the order of their text."""
+    devices = readings.distinct_devices(_readings(spark, directory))
+    return number_rows(devices, ["sn"], name="position").select("position", "sn")
+
+
 def feature_order(spark, directory):
     return readings.feature_order(_legacy_features(spark, directory))
 
@@ -384,6 +410,30 @@ def interpolate_series(spark, directory):
     )
 
 
+def interpolate_legacy(spark, directory):
+    """Events come in no order of time: times are sorted, values stay in event order.
+
+    The whole grid, summed up by series and 1,000 points.
+    """
+    grid = resample.interpolate_series(
+        _cleaned(spark, directory), POINTS, mode=Mode.LEGACY, order=("seq",)
+    )
+    return grid.groupBy(*KEY, F.floor(F.col("idx") / 1000).alias("block")).agg(
+        F.count("*").alias("points"),
+        F.round(F.avg("time"), 2).alias("time"),
+        F.round(F.avg("data"), 6).alias("data"),
+        F.round(F.min("data"), 6).alias("low"),
+        F.round(F.max("data"), 6).alias("high"),
+    )
+
+
+def zip_in_input_order(spark, directory):
+    """Long day-grained series: sorted times beside values in row order."""
+    return resample.zip_in_input_order(_lineitem(spark, directory), ("seq",)).select(
+        *KEY, F.col("time").cast("double").alias("time"), "data"
+    )
+
+
 def interpolate_lineitem(spark, directory):
     """Long day-grained series with many rows per time."""
     return resample.interpolate_series(_lineitem(spark, directory), POINTS).select(
@@ -400,6 +450,14 @@ def summary_statistics(spark, directory):
     )
 
 
+def statistics_order(spark, directory):
+    """Statistics of raw series in the order of their file names."""
+    statistics = profile.summary_statistics(_cleaned(spark, directory), "value")
+    return profile.in_file_order(statistics).select(
+        "position", "file", _rounded("mean", 9)
+    )
+
+
 def _trend_columns(table: DataFrame) -> DataFrame:
     return table.select(*KEY, "file", _rounded("coef", 10), _rounded("intercept", 2))
 
@@ -589,6 +647,15 @@ def missing_keys(spark, directory):
     return _key_columns(compare.missing_keys(customer, supplier, ["key"]))
 
 
+def missing_labels(spark, directory):
+    """Documents without a label."""
+    documents, labels = (
+        adapters.table(spark, directory, name).select(F.col("doc_id").alias("key"))
+        for name in ("documents", "labels")
+    )
+    return _key_columns(compare.missing_keys(documents, labels, ["key"]))
+
+
 def unexpected_keys(spark, directory):
     """Orders without a line."""
     lineitem = adapters.table(spark, directory, "lineitem").select(
@@ -648,6 +715,26 @@ def compare_tables(spark, directory):
     ).differences.select("path", "column_no", "kind", "expected", "actual")
 
 
+def multiset_diff(spark, directory):
+    """Lines by order, a key that repeats, against a changed copy.
+
+    The copy lacks early lines, holds returned ones twice and more of each second line.
+    """
+    lines = adapters.table(spark, directory, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+    )
+    more = F.when(F.col("l_linenumber") == 2, 1.0).otherwise(0.0)
+    copies = F.when(F.col("l_returnflag") == "R", 2).otherwise(1)
+    changed = (
+        lines.where("l_shipdate >= date'1994-01-01'")
+        .withColumn("l_quantity", F.col("l_quantity") + more)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    )
+    return compare.multiset_diff(
+        lines, changed, ["l_orderkey"], ["l_linenumber", "l_quantity", "l_returnflag"]
+    ).select("path", "column_no", "kind", "expected", "actual")
+
+
 def compare_folders(spark, directory):
     """Page files with line breaks in quoted cells; other numbers and blanks on one side."""
     paged = stage(
@@ -718,6 +805,7 @@ QUERIES: dict[str, Query] = {
     "last_key": last_key,
     "page_summary": page_summary,
     "write_series": write_series,
+    "write_once": write_once,
     "valid_series_name": valid_names,
     "select_raw": select_raw,
     "group_by_device": group_by_device,
@@ -728,6 +816,8 @@ QUERIES: dict[str, Query] = {
     "parse_payload_legacy_json": parse_payload_legacy_json,
     "parse_feature_rows": parse_feature_rows,
     "bad_payloads": bad_payloads,
+    "bad_readings": bad_readings,
+    "device_positions": device_positions,
     "feature_order": feature_order,
     "pivot_features": pivot_features,
     "merge_and_sort": merge_and_sort,
@@ -749,7 +839,10 @@ QUERIES: dict[str, Query] = {
     "linspace_grid": linspace_grid,
     "interpolate_series": interpolate_series,
     "interpolate_lineitem": interpolate_lineitem,
+    "interpolate_legacy": interpolate_legacy,
+    "zip_in_input_order": zip_in_input_order,
     "summary_statistics": summary_statistics,
+    "statistics_order": statistics_order,
     "linear_trend": linear_trend,
     "linear_trend_from_timestamps": linear_trend_from_timestamps,
     "histogram": histogram,
@@ -773,6 +866,7 @@ QUERIES: dict[str, Query] = {
     "arima_bic_walk": arima_bic_walk,
     "lowest_bic": lowest_bic,
     "missing_keys": missing_keys,
+    "missing_labels": missing_labels,
     "unexpected_keys": unexpected_keys,
     "row_count_diff": row_count_diff,
     "cell_diff": cell_diff,
@@ -780,6 +874,7 @@ QUERIES: dict[str, Query] = {
     "cells_match": cells_match_counts,
     "content_hash_diff": content_hash_diff,
     "compare_tables": compare_tables,
+    "multiset_diff": multiset_diff,
     "compare_folders": compare_folders,
     "stage_counts": stage_counts_query,
     "stage_outputs": stage_outputs,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.schema import require_count
-from gaugeloom.sources.records import relative_path
+from gaugeloom.sources.records import listed_files, relative_path
 
 RANGE_BYTES = 64 << 20
 _PIECE = 1 << 20
@@ -57,7 +57,7 @@ def range_digests(
     """(path, start, digest): SHA-256 of every range of the files below `root`.
 
     Paths are relative to `root`; those that match the pattern `skip` are left out.
-    An empty file has one range.
+    A row with start -1 and an empty digest stands for the file itself, which may be empty.
     """
     require_count(range_bytes, "range_bytes", 1)
     files = (
@@ -67,8 +67,9 @@ def range_digests(
         .withColumnRenamed("path", "uri")
         .withColumn("path", relative_path(root))
     )
+    names = listed_files(spark, root)
     if skip:
-        files = files.where(~F.col("path").rlike(skip))
+        files, names = (table.where(~F.col("path").rlike(skip)) for table in (files, names))
     # The scan skips the files that its filter on the length leaves out.
     small = files.where(F.col("length") <= range_bytes).select(
         "path", F.lit(0).cast("bigint").alias("start"), F.sha2("content", 256).alias("digest")
@@ -81,4 +82,5 @@ def range_digests(
         .repartition("uri", "start")
     )
     large = ranges.mapInPandas(_digests, "path string, start bigint, digest string")
-    return small.unionByName(large)
+    marks = names.withColumns({"start": F.lit(-1).cast("bigint"), "digest": F.lit("")})
+    return small.unionByName(large).unionByName(marks)

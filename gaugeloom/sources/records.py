@@ -31,12 +31,26 @@ def relative_path(root: str) -> Column:
 
     File paths of rows are percent-encoded, with a plus sign standing for itself.
     """
-    encoded = F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))
-    path = F.url_decode(encoded)
+    return path_below(root, F.col("_metadata.file_path"))
+
+
+def path_below(root: str, uri: Column) -> Column:
+    path = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
     tail = "/" + root.split("://")[-1].strip("/") + "/"
     return F.substr(path, F.locate(tail, path) + F.lit(len(tail)))
 
 
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of every file below `root`.
+
+    A scan skips empty files, so the list comes from Spark's own file index, which the
+    driver holds for any scan of the folder.
+    """
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    listed = spark.createDataFrame([(uri,) for uri in index.inputFiles()], "uri string")
+    return listed.select(path_below(root, F.col("uri")).alias("path"))
+
+
 def _lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """Lines with their place and what they do to either state."""
     lines = (

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import ast
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -119,3 +121,29 @@ def test_corrected_rejects_other_text(spark, text):
     assert parsed(spark, [text], Mode.CORRECTED, strict=False) == [None]
     with pytest.raises(PySparkException):
         parsed(spark, [text], Mode.CORRECTED)
+
+
+@pytest.mark.parametrize(
+    "spelled",
+    [
+        r"\101\60\7z",
+        r"\0",
+        r"\\101 \\\102",
+        r"\U0001F600 \U000000e9",
+        r"\a\v\t",
+        "one\\\ntwo",
+        r"\42\134n",
+        r"\400",
+    ],
+)
+def test_escapes_by_number_follow_the_literal_rules(spark, spelled):
+    text = "{'unit': '" + spelled + "'}"
+    row = spark.createDataFrame([(text,)], "data string")
+    pairs = row.select(parse_payload(F.col("data"), Mode.CORRECTED)).first()[0]
+    assert [(p.feature, p.value) for p in pairs] == list(ast.literal_eval(text).items())
+
+
+@pytest.mark.parametrize("spelled", [r"\U00110000", r"\N{BULLET}", r"\xg1", r"\U12"])
+def test_other_escapes_are_no_payload(spark, spelled):
+    row = spark.createDataFrame([("{'unit': '" + spelled + "'}",)], "data string")
+    assert row.select(parse_payload(F.col("data"), Mode.CORRECTED, strict=False)).first()[0] is None
