@@ -373,6 +373,9 @@ FROM (
 SELECT sn, feature, count(*) AS rows, CAST(1 AS BIGINT) AS folders,
   round(sum(value), 4) AS total
 FROM series GROUP BY sn, feature""",
+    "read_series": f"""WITH {SERIES}
+SELECT * FROM series
+WHERE (sn = '1' AND feature = 'k') OR (sn IN ('1', '7') AND feature = 'value')""",
     "write_once": f"""WITH {READINGS}
 SELECT sn, date, data, slave_id, type_id, seq FROM readings""",
     "valid_series_name": f"""

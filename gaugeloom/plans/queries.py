@@ -170,6 +170,15 @@ def write_series(spark, directory):
     )
 
 
+def read_series(spark, directory):
+    """Write the series and their index, then read some devices' series through it."""
+    path = new_shared_path(spark, "indexed")
+    sinks.write_series(_series(spark, directory), path)
+    sinks.index_series(spark, path)
+    wanted = [("1", "k"), ("1", "value"), ("7", "value"), ("none", "value")]
+    return sinks.read_series(spark, path, wanted).drop("bucket")
+
+
 def write_once(spark, directory):
     """Write the readings once, read them back."""
     path = new_shared_path(spark, "written")
@@ -805,6 +814,7 @@ QUERIES: dict[str, Query] = {
     "last_key": last_key,
     "page_summary": page_summary,
     "write_series": write_series,
+    "read_series": read_series,
     "write_once": write_once,
     "valid_series_name": valid_names,
     "select_raw": select_raw,

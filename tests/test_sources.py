@@ -164,3 +164,27 @@ def test_jdbc_options_are_read_only():
     for bad in ({"table": 'x"; drop'}, {"key": "id"}, {"partitions": 0}, {"statement_timeout_seconds": 0}):
         with pytest.raises(ValueError):
             table.jdbc_options("u", "u", "p", **bad)
+
+
+def test_only_files_of_the_named_series_are_opened(spark, series, tmp_path):
+    rows = series(range(50), sn="a +b")
+    for name in "cdefgh":
+        rows = rows.unionByName(series(range(50), sn=name))
+    path = str(tmp_path / "out")
+    sinks.write_series(rows, path, buckets=6)
+    index = sinks.index_series(spark, path)
+    assert index.agg(F.sum("rows")).first()[0] == 350
+    found = sinks.read_series(spark, path, [("a +b", "f"), ("a +b", "g"), ("x", "f")])
+    assert {(r.sn, r.value) for r in found.collect()} == {("a +b", float(i)) for i in range(50)}
+    assert 0 < len(found.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+    assert sinks.read_series(spark, path, []).count() == 0
+    assert sinks.read_series(spark, path, [("x", "f")]).count() == 0
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.index_series(spark, path)
+
+
+def test_a_path_with_odd_characters_is_indexed(spark, series, tmp_path):
+    path = str(tmp_path / "odd +%20 dir")
+    sinks.write_series(series([1, 2]), path)
+    sinks.index_series(spark, path)
+    assert sinks.read_series(spark, path, [("d", "f")]).count() == 2
