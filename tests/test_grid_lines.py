@@ -70,7 +70,7 @@ def test_operators_agree_with_and_without_the_previous_value(series):
         assert a == b
 
 
-@pytest.mark.parametrize("name", ["arima_bic_walk", "dickey_fuller"])
+@pytest.mark.parametrize("name", ["arima_bic_walk", "dickey_fuller", "difference"])
 def test_queries_window_no_points(spark, folder, name):
     above = above_points(queries.QUERIES[name](spark, folder))
     assert "Window" not in above and "Sort" not in above and "Join" not in above
