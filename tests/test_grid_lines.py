@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import arima, diagnose, resample
+from gaugeloom.operators import arima, diagnose, lags, resample
 from gaugeloom.plans import queries
 
 
@@ -74,3 +74,29 @@ def test_operators_agree_with_and_without_the_previous_value(series):
 def test_queries_window_no_points(spark, folder, name):
     above = above_points(queries.QUERIES[name](spark, folder))
     assert "Window" not in above and "Sort" not in above and "Join" not in above
+
+
+@pytest.mark.parametrize("block_rows", [60, 1 << 16])
+def test_sums_of_lines_are_those_of_their_points(series, block_rows):
+    lines = resample.grid_lines(noisy(series), 400, block_seconds=100)
+    grid = lags.of_grid(resample.grid_points(lines, 400))
+    options = {"differences": 2, "step_lags": 9, "value_lags": 20, "block_rows": block_rows}
+    want, got = (
+        {(r.sn, r.d): r for r in lags.lag_sums(rows, **options).collect()} for rows in (grid, lags.of_lines(lines, 400))
+    )
+    assert len(want) == 6 and want.keys() == got.keys()
+    for key, row in want.items():
+        assert (row.n, row.flat, row["size"]) == (got[key].n, got[key].flat, got[key]["size"])
+        for name in ("total", "square", "steps", "level", "products", "head", "tail"):
+            np.testing.assert_allclose(got[key][name], row[name], rtol=1e-9, atol=1e-9)
+
+
+def test_lines_with_a_gap_fail(spark, series):
+    lines = resample.grid_lines(noisy(series), 400)
+    with pytest.raises(Exception, match="without gaps"):
+        lags.lag_sums(lags.of_lines(lines.where("low = 0 or high > 200"), 400), step_lags=2).collect()
+
+
+def test_autoregression_shuffles_no_points(spark, folder):
+    plan = queries.QUERIES["autoregression_bics"](spark, folder)._jdf.queryExecution().sparkPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "explode(sequence(low#" not in plan
