@@ -97,6 +97,27 @@ def test_lines_with_a_gap_fail(spark, series):
         lags.lag_sums(lags.of_lines(lines.where("low = 0 or high > 200"), 400), step_lags=2).collect()
 
 
+def staged_rows(monkeypatch, module):
+    """Counts what `module` stages from now on."""
+    counts, stage = [], module.stage
+
+    def counted(df, label):
+        table = stage(df, label)
+        counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(module, "stage", counted)
+    return counts
+
+
 def test_autoregression_shuffles_no_points(spark, folder):
     plan = queries.QUERIES["autoregression_bics"](spark, folder)._jdf.queryExecution().sparkPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "explode(sequence(low#" not in plan
+
+
+@pytest.mark.parametrize("name", ["candidate_orders"])
+def test_queries_stage_no_points(spark, folder, monkeypatch, name):
+    counts = staged_rows(monkeypatch, queries)
+    assert queries.QUERIES[name](spark, folder).select("sn", "feature").distinct().count() == 6
+    # At most a row for each event and feature.
+    assert counts and max(counts) <= 2 * 91
