@@ -115,7 +115,7 @@ def test_autoregression_shuffles_no_points(spark, folder):
     assert "FlatMapGroupsInPandas" in plan and "explode(sequence(low#" not in plan
 
 
-@pytest.mark.parametrize("name", ["candidate_orders", "difference_order", "is_stationary"])
+@pytest.mark.parametrize("name", ["candidate_orders", "difference_order", "is_stationary", "order_by_regression"])
 def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     counts = staged_rows(monkeypatch, queries)
     assert queries.QUERIES[name](spark, folder).select("sn", "feature").distinct().count() == 6
