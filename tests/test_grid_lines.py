@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 import numpy as np
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import arima, diagnose, lags, resample
-from gaugeloom.plans import queries
+from gaugeloom import scale
+from gaugeloom.operators import arima, clean, diagnose, lags, profile, resample
+from gaugeloom.plans import queries, stages
+from gaugeloom.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +126,20 @@ def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     assert queries.QUERIES[name](spark, folder).select("sn", "feature").distinct().count() == 6
     # At most a row for each event and feature.
     assert counts and max(counts) <= 2 * 91
+
+
+@pytest.fixture
+def shared(monkeypatch, tmp_path):
+    """Staged tables go here."""
+    monkeypatch.setattr(scale, "new_shared_path", lambda spark, label: str(tmp_path / f"{label}-{uuid.uuid4().hex}"))
+    return tmp_path
+
+
+def test_zip_keeps_no_positions_on_disk(spark, series, shared):
+    rows = series([3, 1, 2], dates=["2020-01-01 00:00:09", "2020-01-01 00:00:01", "2020-01-01 00:00:05"])
+    found = resample.zip_in_input_order(rows, ("seq",)).orderBy("time").collect()
+    assert [r.data for r in found] == [3, 1, 2]
+    folders = sorted(shared.iterdir())
+    assert [f.name.split("-")[0] for f in folders] == ["numbered", "numbered"]
+    columns = {tuple(spark.read.parquet(str(f)).columns) for f in folders}
+    assert columns == {("sn", "feature", "time", "_place"), ("sn", "feature", "data", "_place")}
