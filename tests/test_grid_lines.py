@@ -143,3 +143,21 @@ def test_zip_keeps_no_positions_on_disk(spark, series, shared):
     assert [f.name.split("-")[0] for f in folders] == ["numbered", "numbered"]
     columns = {tuple(spark.read.parquet(str(f)).columns) for f in folders}
     assert columns == {("sn", "feature", "time", "_place"), ("sn", "feature", "data", "_place")}
+
+
+def test_outlier_removal_drops_its_value_counts(series, shared):
+    assert clean.remove_outliers(series([1, 2, 3, 4, 5, 6, 7, 8, 900])).count() == 8
+    assert [f.name.split("-")[0] for f in shared.iterdir()] == ["facts"]
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before = files()
+    scale.stage(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    until = time.time() + 10
+    while (left := {f for f in files() - before if f.startswith("shuffle_")}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
