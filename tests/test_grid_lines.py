@@ -161,3 +161,9 @@ def test_staging_leaves_no_shuffle_files(spark):
     while (left := {f for f in files() - before if f.startswith("shuffle_")}) and time.time() < until:
         time.sleep(0.2)
     assert not left
+
+
+def test_date_text_is_not_carried_past_the_first_row_of_a_time(series):
+    """One window to find neighbours, none to drop other texts of the same second."""
+    plan = resample.interpolate_series(noisy(series), 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" not in plan and plan.count("lead(time#") >= 1
