@@ -120,7 +120,7 @@ def test_autoregression_shuffles_no_points(spark, folder):
     assert "FlatMapGroupsInPandas" in plan and "explode(sequence(low#" not in plan
 
 
-@pytest.mark.parametrize("name", ["candidate_orders", "difference_order", "is_stationary", "order_by_regression"])
+@pytest.mark.parametrize("name", ["candidate_orders", "difference_order", "histogram", "is_stationary", "order_by_regression"])
 def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     counts = staged_rows(monkeypatch, queries)
     assert queries.QUERIES[name](spark, folder).select("sn", "feature").distinct().count() == 6
@@ -128,6 +128,17 @@ def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     assert counts and max(counts) <= 2 * 91
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_histogram_of_lines_is_that_of_their_points(series, monkeypatch, broadcast):
+    if not broadcast:
+        joined = profile.spread_join
+        monkeypatch.setattr(profile, "spread_join", lambda *a, **b: joined(*a, **b, broadcast_bytes=0, task_rows=100))
+    lines = resample.grid_lines(noisy(series), 300)
+    want = profile.histogram(resample.grid_points(lines, 300), 16).collect()
+    got = profile.histogram(lines, 16, points=lambda rows, *keep: resample.grid_points(rows, 300, *keep)).collect()
+    assert sorted(got) == sorted(want) and sum(r["count"] for r in got) == 600
+
+
 @pytest.fixture
 def shared(monkeypatch, tmp_path):
     """Staged tables go here."""
