@@ -139,6 +139,13 @@ def test_histogram_of_lines_is_that_of_their_points(series, monkeypatch, broadca
     assert sorted(got) == sorted(want) and sum(r["count"] for r in got) == 600
 
 
+def test_stage_outputs_stage_no_points(spark, folder, monkeypatch):
+    counts = staged_rows(monkeypatch, stages)
+    assert queries.QUERIES["stage_outputs"](spark, folder).count() == 6
+    # The feature rows: three entries for each event.
+    assert counts and max(counts) <= 3 * 91
+
+
 @pytest.fixture
 def shared(monkeypatch, tmp_path):
     """Staged tables go here."""
