@@ -128,6 +128,14 @@ def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     assert counts and max(counts) <= 2 * 91
 
 
+def test_linspace_is_dealt_to_all_tasks(spark, series):
+    """One small row per series: merged by their size, a single task made all times."""
+    rows = series([1, 2], sn="0", dates=["2020-01-01 00:00:00", "2020-01-02 00:00:00"])
+    many = rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).withColumn("sn", F.col("n").cast("string"))
+    tasks = resample.linspace_grid(many, 5).select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_histogram_of_lines_is_that_of_their_points(series, monkeypatch, broadcast):
     if not broadcast:
