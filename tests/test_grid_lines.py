@@ -154,6 +154,21 @@ def test_stage_outputs_stage_no_points(spark, folder, monkeypatch):
     assert counts and max(counts) <= 3 * 91
 
 
+def test_lines_are_written_as_points(spark, series, tmp_path):
+    lines = resample.grid_lines(noisy(series), 300)
+    counted = Observation()
+    sinks.write_series(
+        lines, str(tmp_path / "out"), counted=counted, points=lambda rows, *keep: resample.grid_points(rows, 300, *keep)
+    )
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert counted.get["rows"] == 600
+    assert sorted(written.drop("bucket").collect()) == sorted(resample.grid_points(lines, 300).collect())
+    # As write_series orders rows: by series and point within a file.
+    for file in written.inputFiles():
+        keys = [tuple(r) for r in spark.read.parquet(file).select("sn", "feature", "idx").collect()]
+        assert keys == sorted(keys)
+
+
 @pytest.fixture
 def shared(monkeypatch, tmp_path):
     """Staged tables go here."""
