@@ -116,7 +116,9 @@ def gram_scores(full: DataFrame, counts: DataFrame) -> DataFrame:
     levels = levels.withColumn(
         "context", F.when(single, F.col("full")).otherwise(F.substr("gram", F.lit(1), F.col("size") - 1))
     )
-    facts = levels.join(counts, "gram", "left").join(contexts, "context", "left")
+    # Grams grow with the addresses, and a few MB of files are many times that in a
+    # driver which builds a broadcast of them: they are always merged.
+    facts = levels.join(counts.hint("merge"), "gram", "left").join(contexts.hint("merge"), "context", "left")
     for name, total in empty.items():
         facts = facts.withColumn(name, F.when(single, F.lit(total or 0)).otherwise(F.col(name)))
     names = [*kinds, *empty]
@@ -194,13 +196,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     held = places.groupBy("text", "full").agg(F.count("*").alias("times"))
     ratios = gram_scores(places.select("full").distinct(), stage(model_counts(examples), "grams"))
     scores = stage(
-        held.join(ratios, "full")
+        held.join(ratios.hint("merge"), "full")
         .groupBy("text")
         # Rounded: the order of a sum depends on the shuffle.
         .agg(F.round(F.sum(F.col("ratio") * F.col("times")) / F.sum("times"), SCORE_DIGITS).alias("score")),
         "scores",
     )
-    known = texts.join(scores, "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    known = texts.join(scores.hint("merge"), "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     kinds = examples.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
     if kinds["allow"] and kinds["block"]:
         cut = best_cut(known.filter(left_out & (F.col("allow") + F.col("block") > 0)))
