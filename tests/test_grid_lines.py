@@ -128,6 +128,12 @@ def test_queries_stage_no_points(spark, folder, monkeypatch, name):
     assert counts and max(counts) <= 2 * 91
 
 
+def test_linspace_query_keeps_its_tasks(spark, folder):
+    plan = queries.QUERIES["linspace_grid"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("HashAggregate")]
+    assert "REPARTITION_BY_NUM" in above
+
+
 def test_linspace_is_dealt_to_all_tasks(spark, series):
     """One small row per series: merged by their size, a single task made all times."""
     rows = series([1, 2], sn="0", dates=["2020-01-01 00:00:00", "2020-01-02 00:00:00"])
